@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import media, packing
+from tidewright.llm import langid, media, packing, quality
 from tidewright.llm.common import table
 
 
@@ -18,7 +18,15 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
 
+def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_langid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.detect(table(spark, sf_dir, "documents")).drop("known_share")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_media_avi, op7_best_fit_packing)
+    f.__name__: f for f in (op4_media_avi, op7_best_fit_packing, op8_quality_fm, op10_langid_filters)
 }
 ORACLE_SQL: dict[str, str] = {}
