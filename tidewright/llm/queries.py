@@ -6,14 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import langid, media, packing, quality
+from tidewright.llm import langid, media, packing, quality, substrings, suffixes
 from tidewright.llm.common import table
 
 
+def op3_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op4_media_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_digests(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
@@ -27,6 +35,6 @@ def op10_langid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_media_avi, op7_best_fit_packing, op8_quality_fm, op10_langid_filters)
+    f.__name__: f for f in (op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op7_best_fit_packing, op8_quality_fm, op10_langid_filters)
 }
 ORACLE_SQL: dict[str, str] = {}
