@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import langid, media, minhash, packing, quality, substrings, suffixes
+from tidewright.llm import bytebpe, langid, media, minhash, packing, quality, substrings, suffixes
 from tidewright.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.join(table(spark, sf_dir, "documents"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytebpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
@@ -39,6 +43,6 @@ def op10_langid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op7_best_fit_packing, op8_quality_fm, op10_langid_filters)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_byte_bpe, op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op7_best_fit_packing, op8_quality_fm, op10_langid_filters)
 }
 ORACLE_SQL: dict[str, str] = {}
