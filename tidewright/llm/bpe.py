@@ -107,7 +107,7 @@ class WordEncoder:
 
     _of: dict[str, WordEncoder] = {}
 
-    def __init__(self, path: str, most: int = 1_200_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -21,7 +21,7 @@ from tidewright.llm.bpe import WordEncoder
 LENGTH = 2048
 OPEN_BINS = 512
 #: Texts tokenised at once.
-_TEXTS = 10_000
+_TEXTS = 2500
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
