@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import bytebpe, langid, media, minhash, packing, quality, substrings, suffixes
+from tidewright.llm import bytebpe, fingerprints, langid, media, minhash, packing, quality, substrings, suffixes
 from tidewright.llm.common import table
 
 
@@ -38,11 +38,15 @@ def op8_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_locally_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
 def op10_langid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.detect(table(spark, sf_dir, "documents")).drop("known_share")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_byte_bpe, op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op7_best_fit_packing, op8_quality_fm, op10_langid_filters)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_byte_bpe, op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op7_best_fit_packing, op8_quality_fm, op9_locally_consistent, op10_langid_filters)
 }
 ORACLE_SQL: dict[str, str] = {}
