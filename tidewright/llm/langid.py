@@ -204,3 +204,21 @@ def detect(docs: DataFrame) -> DataFrame:
     """Learns from the rows of docs (doc_id, text, lang) that are not held out, then identifies all rows."""
     parted = split(docs.select("doc_id", "text", "lang"))
     return identify(parted, learn(parted.where(~F.col("held_out"))))
+
+
+#: Texts with a smaller share of known n-grams are in none of the learned languages.
+LEAST_KNOWN = 0.25
+
+
+def accepted(docs: DataFrame, filters: Filters, least_known: float = LEAST_KNOWN) -> DataFrame:
+    """The rows of docs (text and others) in one of the learned languages, unchanged: not `und`, and at least
+    `least_known` of the text's n-grams are in the filter of the language found."""
+    shared = docs.sparkSession.sparkContext.broadcast((filters.langs, filters.bits, filters.common))
+
+    def run(batches):
+        f = Filters(*shared.value)
+        for batch in batches:
+            found = [f.predict(t) for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array([lang != "und" and known >= least_known for lang, _, known in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -189,6 +189,20 @@ def rate(docs: DataFrame, machine: Machine) -> DataFrame:
     return docs.select("doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "text", chars.alias("n_chars")).mapInArrow(run, SCORED)
 
 
+def accepted(docs: DataFrame, machine: Machine) -> DataFrame:
+    """The rows of docs (doc_id, text, n_chars and others) that the machine predicts as label 1, unchanged."""
+    shared = docs.sparkSession.sparkContext.broadcast(machine)
+
+    def run(batches):
+        words, m = Words(), shared.value
+        for batch in batches:
+            n = batch.column("n_chars").to_pylist() if "n_chars" in batch.schema.names else [None] * batch.num_rows
+            keep = [m.score(*words.features(t, c)) >= THRESHOLD for t, c in zip(batch.column("text").to_pylist(), n)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Fits on the labelled documents that are not held out, then scores all."""
     return rate(docs, train(docs, labels))

@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidewright.llm import repeats
-from tidewright.llm.common import words
+from tidewright.llm.common import NO_ID, words
 
 WINDOW = 50
 GRAM = 8
@@ -104,3 +105,41 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, most: int = repeats.MO
     joined = rows.join(repeats.repeated(rows, kind(window), most), ["row", "doc"], "left").select("doc_id", "text", "spans")
     made = joined.mapInArrow(run, CLEANED)
     return made if with_text else made.drop("kept")
+
+
+def cleaned(docs: DataFrame, window: int = WINDOW, most: int = repeats.MOST) -> DataFrame:
+    """docs with the words of repeated windows removed from text, and n_chars (if there) set to what is left.
+
+    Rows stay, also those of which nothing is left (their text is then empty); a text without repeats stays
+    as it is, in others the kept words are joined by one space. Columns named _row, _doc or _spans are not
+    allowed in docs.
+    """
+    spans = repeats.repeated(repeats.keyed(docs), kind(window), most).toDF("_row", "_doc", "_spans")
+    whole = docs.withColumns({"_row": F.xxhash64("doc_id", "text"), "_doc": F.coalesce(F.col("doc_id"), F.lit(NO_ID))})
+    joined = whole.join(spans, ["_row", "_doc"], "left").select(*docs.columns, "_spans")
+    names, at = list(docs.columns), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                texts, n = [], []
+                spans = part.column(part.num_columns - 1)
+                for k, text in enumerate(part.column(at).to_pylist()):
+                    if spans[k].is_valid:
+                        own = words(text)
+                        hit = repeats.covered(len(own), window, spans[k].as_py()).tolist()
+                        text = " ".join([w for w, h in zip(own, hit) if not h])
+                        n.append(len(text))
+                    else:
+                        n.append(None)
+                    texts.append(text)
+                columns = [part.column(k) for k in range(part.num_columns - 1)]
+                columns[at] = pa.array(texts, columns[at].type)
+                if "n_chars" in names:
+                    k = names.index("n_chars")
+                    old = columns[k].to_pylist()
+                    columns[k] = pa.array([o if x is None else x for o, x in zip(old, n)], columns[k].type)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return joined.mapInArrow(run, docs.schema)
