@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewright.llm import bytebpe, fingerprints, langid, media, minhash, packing, quality, substrings, suffixes
+from tidewright.llm import bytebpe, fingerprints, langid, lm, media, minhash, packing, quality, substrings, suffixes
 from tidewright.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op5_suffix_refinement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op6_lm_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,6 @@ def op10_langid_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_byte_bpe, op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op7_best_fit_packing, op8_quality_fm, op9_locally_consistent, op10_langid_filters)
+    f.__name__: f for f in (op1_ngram_jaccard, op2_byte_bpe, op3_substring_rlz, op4_media_avi, op5_suffix_refinement, op6_lm_attention, op7_best_fit_packing, op8_quality_fm, op9_locally_consistent, op10_langid_filters)
 }
 ORACLE_SQL: dict[str, str] = {}
