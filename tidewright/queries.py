@@ -419,19 +419,19 @@ def metrics_mase(spark, sf_dir):
     return error.join(scale, "id").select("id", F.when(value == float("inf"), value).otherwise(r4(value)).alias("mase"))
 
 
-def _grouped(title: str, key: str, sql: str, column: Column):
+def _grouped(title: str, key: str, sql: str, column: Callable[[], Column]):
     cells = ", ".join(f"{s4(x)} AS {n}" if n != "mape" else f"CASE WHEN COUNT(CASE WHEN sales > 1e-8 THEN 1 END) = 0 THEN CAST('Infinity' AS DOUBLE) ELSE {s4(x)} END AS mape" for n, x in _POINT.items())
 
     def run(spark, sf_dir):
-        made = M.by_group(_naive(spark, sf_dir).withColumn(key, column), key, y="sales")
+        made = M.by_group(_naive(spark, sf_dir).withColumn(key, column()), key, y="sales")
         return made.select(*(r4(F.col(c)).alias(c) if t == "double" and c != "mape" else F.when(F.col(c) == float("inf"), F.col(c)).otherwise(r4(F.col(c))).alias(c) if c == "mape" else F.col(c) for c, t in made.dtypes))
 
     run.__name__ = title
     query(f"WITH {SPLIT_SQL} SELECT {sql} AS {key}, {cells}, COUNT(*) AS n_samples, {s4('AVG(sales)')} AS mean_actual, {s4('AVG(prediction)')} AS mean_prediction FROM naive GROUP BY 1")(run)
 
 
-_grouped("metrics_per_series", "id", "id", F.col("id"))
-_grouped("metrics_by_weekday", "dow", "CAST(ISODOW(date) - 1 AS INT)", F.weekday("date"))
+_grouped("metrics_per_series", "id", "id", lambda: F.col("id"))
+_grouped("metrics_by_weekday", "dow", "CAST(ISODOW(date) - 1 AS INT)", lambda: F.weekday("date"))
 
 
 @query(f"WITH {SPLIT_SQL} SELECT CAST(DATE_DIFF('day', (SELECT o FROM origin), date) AS INT) AS horizon, {s4(_POINT['rmse'])} AS rmse, {s4(_POINT['mae'])} AS mae, COUNT(*) AS n_samples FROM naive GROUP BY 1")
