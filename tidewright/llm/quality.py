@@ -99,8 +99,9 @@ class Machine:
         return float(1 / (1 + math.exp(-min(30.0, max(-30.0, z)))))
 
 
-def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 12, rate: float = 0.05, decay: float = 1e-5, batch: int = 64, seed: int = 7) -> Machine:
-    """Fits by Adagrad on the logistic loss. Without rows of both labels the share of label 1 is the score."""
+def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 12, rate: float = 0.05, decay: float = 1e-5, batch: int = 64, steps: int = 800, seed: int = 7) -> Machine:
+    """Fits by Adagrad on the logistic loss, `epochs` times over the rows or about `steps` steps if that is
+    more. Without rows of both labels the share of label 1 is the score."""
     rng = np.random.default_rng(seed)
     y = np.array([r[2] for r in rows], float)
     base = min(0.99, max(0.01, float(y.mean()))) if len(y) else 0.5
@@ -110,6 +111,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 12, rate:
         m.v[:] = 0
         return m
     xs = [m.standard(r[1]) for r in rows]
+    epochs = max(epochs, -(-steps * batch // len(rows)))
     gw, gv, gb = np.full(SIZE, 1e-2), np.full((SIZE, RANK), 1e-2), 1e-2
     for _ in range(epochs):
         order = rng.permutation(len(rows))
