@@ -93,9 +93,9 @@ class Forecaster:
             ready = ready.where(f"not {validation}") if validation else ready
             last = last.setWeightCol(weight) if weight else last
         else:
-            last = GBTRegressor(featuresCol="_features", labelCol="_y", predictionCol="prediction", maxIter=c.trees, maxDepth=c.depth, stepSize=c.learning_rate, subsamplingRate=c.row_share, featureSubsetStrategy=str(c.feature_share), maxBins=max(c.max_bins, widest), seed=c.seed)
+            last = GBTRegressor(featuresCol="_features", labelCol="_y", predictionCol="prediction", maxIter=c.trees, maxDepth=c.depth, stepSize=c.learning_rate, subsamplingRate=c.row_share, featureSubsetStrategy=str(c.feature_share), maxBins=max(c.max_bins, widest), validationTol=c.tolerance, seed=c.seed)
             last = last.setWeightCol(weight) if weight else last
-            last = last.setValidationIndicatorCol(validation).setValidationTol(c.tolerance) if validation else last
+            last = last.setValidationIndicatorCol(validation) if validation else last
         for stage in (*indexed, assembler):
             ready = stage.transform(ready)
         keep = ["_features", "_y", *([weight] if weight else []), *([validation] if validation and c.objective != "tweedie" else [])]

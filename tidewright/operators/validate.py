@@ -105,7 +105,8 @@ def validate_features(df: DataFrame, target: str = "sales") -> Validation:
     aggs = [F.count_if(F.abs(F.col(c).cast("double")) == float("inf")).alias(f"inf{k}") for k, c in enumerate(numeric)]
     aggs += [F.stddev_samp(F.when(F.abs(F.col(c).cast("double")) != float("inf"), F.col(c))).alias(f"sd{k}") for k, c in enumerate(numeric)]
     pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
-    aggs += [F.corr(a, b).alias(f"corr{k}") for k, (a, b) in enumerate(pairs)]
+    sd = lambda x, y: F.stddev_samp(F.when(F.col(y).isNotNull(), F.col(x)))  # noqa: E731  corr() fails on constants
+    aggs += [F.try_divide(F.covar_samp(a, b), sd(a, b) * sd(b, a)).alias(f"corr{k}") for k, (a, b) in enumerate(pairs)]
     row = df.agg(F.count(F.lit(1)).alias("n"), *aggs, *(null_share(df, c).alias(f"null{k}") for k, c in enumerate(df.columns))).first()
     out = Validation(True, row_count=row.n)
     for k, c in enumerate(numeric):
