@@ -102,7 +102,7 @@ class Backtest:
 
 
 def run(panel: DataFrame, forecast: Callable[[DataFrame, DataFrame], DataFrame], plan: Plan = Plan(), callbacks: Sequence[Callable[[FoldScore], None]] = ()) -> Backtest:
-    """forecast(history, test) adds a prediction to test; test has no target. The loop over folds is on the
+    """forecast(history, test) gives id, date and prediction for the rows of test, which has no target. The loop over folds is on the
     driver; each fold is one plan, and only scores come back."""
     ends = panel.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
     folds = plan.folds(ends.a, ends.b) if ends.a else []
@@ -113,8 +113,8 @@ def run(panel: DataFrame, forecast: Callable[[DataFrame, DataFrame], DataFrame],
         d = F.col("date")
         history = panel.where(d.between(F.lit(f.train_start), F.lit(f.train_end)))
         actual = panel.where(d.between(F.lit(f.test_start), F.lit(f.test_end)))
-        made = forecast(history, actual.drop("sales")).withColumn("prediction", F.greatest(F.lit(0.0), F.col("prediction")))
-        made = reattach(made, actual).withColumns({"fold": F.lit(k), "horizon": horizon(f.test_start)})
+        made = forecast(history, actual.drop("sales")).select("id", "date", F.greatest(F.lit(0.0), F.col("prediction")).alias("prediction"))
+        made = reattach(actual, made, "prediction").withColumns({"fold": F.lit(k), "horizon": horizon(f.test_start)})
         made = made.persist()
         point = metrics.pooled(made, "sales").first()
         try:
@@ -141,6 +141,6 @@ def model_forecast(model, horizon_days: int = 28, validation_days: int = 28) ->
         start = origin - timedelta(validation_days - 1)
         train = made.where((F.col("date") <= F.lit(origin)) & F.col("sales").isNotNull()).withColumn("is_validation", F.col("date") >= F.lit(start))
         own = model.clone().fit(train, engineer.names, validation="is_validation")
-        return own.predict(made.where(F.col("date") > F.lit(origin))).select(*test.columns, "prediction")
+        return own.predict(made.where(F.col("date") > F.lit(origin))).select("id", "date", "prediction")
 
     return forecast

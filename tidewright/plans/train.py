@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidewright.operators import backtest, metrics
 from tidewright.operators.models import Forecaster, _write_text
-from tidewright.operators.prepare import Engineer, hide_after, reattach
+from tidewright.operators.prepare import Engineer, hide_after
 from tidewright.operators.validate import unchanged_by_future, validate
 from tidewright.plans.config import Config, as_dict, load_config
 from tidewright.sources.loader import Loader
@@ -49,7 +49,8 @@ def run(spark: SparkSession, config: Config, panel: DataFrame | None = None) ->
         weights = metrics.row_weights(history).select("id", "date", F.col("row_weight"))
         train, weight = train.join(weights, ["id", "date"], "left").fillna(0.0, ["row_weight"]), "row_weight"
     model = Forecaster(config.model).fit(train, engineer.names, weight=weight, validation="is_validation")
-    made = reattach(model.predict(features.where(F.col("date") > F.lit(origin))), actual).persist()
+    forecast = model.predict(features.where(F.col("date") > F.lit(origin))).select("id", "date", "prediction")
+    made = actual.join(forecast, ["id", "date"], "left").persist()
     naive = backtest.seasonal_naive(history, actual)
     mean = backtest.moving_average(history, actual)
     scores = {"model": metrics.score(history, made), "seasonal_naive_7d": metrics.score(history, naive), "moving_average_28d": metrics.score(history, mean)}
