@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 TINY = 1e-8
 #: The levels of the hierarchy and their keys.
-M5_LEVELS: tuple[tuple[str, tuple[str, ...]], ...] = (
+TWELVE_LEVELS: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("total", ()),
     ("state", ("state_id",)),
     ("store", ("store_id",)),
@@ -157,7 +157,7 @@ def exploded(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]], *keep:
     return df.select(F.explode(pairs).alias("_at"), *keep).select("_at.level", "_at.key", *(c for c in df.select(*keep).columns))
 
 
-def hierarchical_wrmsse(train: DataFrame, evaluation: DataFrame, days: int = 28, levels: Sequence[tuple[str, Sequence[str]]] = M5_LEVELS, y: str = "sales", p: str = "prediction", price: str = "sell_price", date: str = "date") -> DataFrame:
+def hierarchical_wrmsse(train: DataFrame, evaluation: DataFrame, days: int = 28, levels: Sequence[tuple[str, Sequence[str]]] = TWELVE_LEVELS, y: str = "sales", p: str = "prediction", price: str = "sell_price", date: str = "date") -> DataFrame:
     """level, wrmsse, n_series of each level that the columns allow. Evaluation keys without history are
     left out. The overall score is the mean of the levels (see overall())."""
     last = train.agg(F.max(date)).first()[0]

@@ -482,7 +482,7 @@ def wrmsse_series(spark, sf_dir):
 
 
 def _level_union(src: str, *cells: str) -> str:
-    return " UNION ALL ".join(f"SELECT '{n}' AS level, {' || CHR(31) || '.join(k) if k else chr(39) + 'all' + chr(39)} AS key, {', '.join(cells)} FROM {src} GROUP BY 1, 2, date" for n, k in M.M5_LEVELS)
+    return " UNION ALL ".join(f"SELECT '{n}' AS level, {' || CHR(31) || '.join(k) if k else chr(39) + 'all' + chr(39)} AS key, {', '.join(cells)} FROM {src} GROUP BY 1, 2, date" for n, k in M.TWELVE_LEVELS)
 
 
 @query(f"""WITH {SPLIT_SQL}, v AS (SELECT train.*, CASE WHEN date > o - 28 THEN CAST(COALESCE(sales * sell_price, 0) AS DECIMAL(38,10)) ELSE 0 END AS v FROM train, origin),
