@@ -140,7 +140,11 @@ def model_forecast(model, horizon_days: int = 28, validation_days: int = 28) ->
         made = engineer.fit_transform(whole).persist()
         start = origin - timedelta(validation_days - 1)
         train = made.where((F.col("date") <= F.lit(origin)) & F.col("sales").isNotNull()).withColumn("is_validation", F.col("date") >= F.lit(start))
-        own = model.clone().fit(train, engineer.names, validation="is_validation")
+        weight = None
+        if model.config.objective == "squared":
+            weights = metrics.row_weights(history).select("id", "date", F.col("row_weight"))
+            train, weight = train.join(weights, ["id", "date"], "left").fillna(0.0, ["row_weight"]), "row_weight"
+        own = model.clone().fit(train, engineer.names, weight=weight, validation="is_validation")
         return own.predict(made.where(F.col("date") > F.lit(origin))).select("id", "date", "prediction")
 
     return forecast
