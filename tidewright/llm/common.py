@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where none is set, as in tests."""
+    """The shared folder that the cluster names. Where none is set, a local session (as in tests) gets one of
+    our own; on a cluster that is refused, as executors would write to their own disks."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not at:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = "/tmp/tidewright-checkpoints"
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(at)
@@ -37,7 +42,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     spark = df.sparkSession
     at = f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
-    return spark.read.schema(df.schema).parquet(at)
+    found = spark.read.schema(df.schema).parquet(at)
+    found._stored_at = at
+    return found
+
+
+def removed(*tables: DataFrame) -> None:
+    """Deletes what stored() wrote for these tables, which nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words(text: str | None) -> list[str]:
@@ -45,6 +59,66 @@ def words(text: str | None) -> list[str]:
     return WORD.findall(text) if text else []
 
 
+class WordNames(dict):
+    """64-bit names of words. One for a worker process, shared by the operators; what a task adds goes when
+    the task ends, and sooner where it grows past its bound."""
+
+    most = 200_000
+    longest = 64
+
+    def __missing__(self, word: str) -> int:
+        name = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        if len(word) <= self.longest:
+            self[word] = name
+        return name
+
+    def of(self, some: list[str]) -> np.ndarray:
+        if len(self) > self.most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, some), np.uint64, len(some))
+
+
+names = WordNames()
+
+
+def forget() -> None:
+    """Empties what this worker process keeps between batches."""
+    names.clear()
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the worker process keeps nothing: it may serve other operators next."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            forget()
+
+    return wrapped
+
+
+def stretches(col: pa.Array, most_rows: int, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """Rows [lo, hi) of an Arrow column of texts, at most so many and of so many bytes; a longer text is a
+    stretch of its own."""
+    if not len(col):
+        return
+    at = offsets(col).astype(np.int64)
+    lo = 0
+    while lo < len(col):
+        hi = int(np.searchsorted(at, at[lo] + most_bytes, side="right")) - 1
+        hi = min(len(col), lo + most_rows, max(lo + 1, hi))
+        yield lo, hi
+        lo = hi
+
+
+def offsets(col: pa.Array) -> np.ndarray:
+    """Where each value of a column of texts or bytes begins in its data, and where the last ends."""
+    kind = np.int64 if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type) else np.int32
+    return np.frombuffer(col.buffers()[1], kind)[col.offset : col.offset + len(col) + 1]
+
+
 def mix64(h: np.ndarray) -> np.ndarray:
     """A bijective finaliser of 64-bit values."""
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -54,14 +128,9 @@ def mix64(h: np.ndarray) -> np.ndarray:
 
 def utf8_slices(col: pa.Array) -> Iterator[np.ndarray]:
     """The UTF-8 bytes of each text of an Arrow column as uint8 arrays without copies; null: empty."""
-    if pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type):
-        kind = np.int64
-    else:
-        kind = np.int32
-    _, at, data = col.buffers()
     if len(col) == 0:
         return
-    off = np.frombuffer(at, kind)[col.offset : col.offset + len(col) + 1]
+    off, data = offsets(col), col.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     empty = np.zeros(0, np.uint8)
     valid = col.is_valid().to_numpy(zero_copy_only=False) if col.null_count else None

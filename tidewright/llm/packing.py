@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.bpe import WordEncoder
+from tidewright.llm.common import stretches
 
 LENGTH = 2048
 OPEN_BINS = 512
-#: Texts tokenised at once.
-_TEXTS = 2500
+#: Texts tokenised at once, and their bytes.
+_TEXTS, _BYTES = 2500, 4 << 20
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
@@ -39,20 +40,22 @@ def pieces(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.at(tokenizer)
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS):
-                part = batch.slice(at, _TEXTS)
-                ids, counts = encoder.encode(part.column(1))
-                ends = np.cumsum(counts)
-                ids = np.insert(ids, ends, 0).tobytes()
-                out: list[list] = [[], [], [], [], []]
-                for doc, first, last in zip(part.column(0).to_pylist(), (ends - counts + np.arange(len(ends))).tolist(), (ends + np.arange(1, len(ends) + 1)).tolist()):
-                    for k, start in enumerate(range(first, last, length)):
-                        stop = min(last, start + length)
-                        for column, v in zip(out, (doc, k, start - first, stop - start, zlib.crc32(ids[4 * start : 4 * stop]))):
-                            column.append(v)
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
+            for lo, hi in stretches(batch.column(1), _TEXTS, _BYTES):
+                yield of(encoder, batch.slice(lo, hi - lo))
+
+    def of(encoder: WordEncoder, part: pa.RecordBatch) -> pa.RecordBatch:
+        ids, counts = encoder.encode(part.column(1))
+        ends = np.cumsum(counts)
+        ids = np.insert(ids, ends, 0).tobytes()
+        out: list[list] = [[], [], [], [], []]
+        for doc, first, last in zip(part.column(0).to_pylist(), (ends - counts + np.arange(len(ends))).tolist(), (ends + np.arange(1, len(ends) + 1)).tolist()):
+            for k, start in enumerate(range(first, last, length)):
+                stop = min(last, start + length)
+                for column, v in zip(out, (doc, k, start - first, stop - start, zlib.crc32(ids[4 * start : 4 * stop]))):
+                    column.append(v)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names)
 
     return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
 
