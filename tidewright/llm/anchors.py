@@ -8,6 +8,7 @@ they are, so repeats can be looked for anchor by anchor, at some 2/(window-k+2)
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 from tidewright.llm.common import MASK64, mix64
 
@@ -31,7 +32,7 @@ def _grow(n: int) -> None:
 
 
 class Names:
-    """Names of all stretches of a sequence of uint64 units."""
+    """Sums of powers of a sequence of uint64 units, from which its k-grams are named."""
 
     def __init__(self, units: np.ndarray):
         _grow(len(units) + 1)
@@ -43,10 +44,6 @@ class Names:
         n = len(self.sums) - k
         return mix64((self.sums[k:] - self.sums[:n]) * _inverse[:n])
 
-    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-        """Names of stretches [first, last)."""
-        return mix64((self.sums[last] - self.sums[first]) * _inverse[first] + (last - first).astype(np.uint64))
-
 
 def least(x: np.ndarray, width: int) -> np.ndarray:
     """The minimum of every `width` consecutive values."""
@@ -57,8 +54,9 @@ def least(x: np.ndarray, width: int) -> np.ndarray:
     return x[:n] if size == width else np.minimum(x[:n], x[width - size : width - size + n])
 
 
-def segments(units: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows, anchor's name and segment's name of each segment of a sequence."""
+def segments(units: np.ndarray, window: int, k: int, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, number of windows, anchor's name and segment's name of each segment of a sequence. A
+    segment is named by a hash of all it holds, as sums of powers alone would let structured repeats collide."""
     if len(units) < window:
         empty = np.zeros(0, np.int64)
         return empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
@@ -66,11 +64,14 @@ def segments(units: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.nda
     step = CHUNK - window + 1
     for at in range(0, len(units) - window + 1, step):
         part = units[at : at + CHUNK]
-        names = Names(part)
+        names = Names(part if table is None else table[part])
         grams = names.grams(k)
         keys = (grams & ~_POS) | np.arange(len(grams), dtype=np.uint64)
         place = least(keys, window - k + 1) & _POS
         first = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1])
         n = np.diff(first, append=len(place))
-        found.append((first + at, n, grams[place[first].astype(np.int64)], names.of(first, first + n - 1 + window)))
+        raw, size = memoryview(np.ascontiguousarray(part)).cast("B"), part.itemsize
+        ends = first + n - 1 + window
+        named = [xxhash.xxh3_64_intdigest(raw[x:y]) for x, y in zip((first * size).tolist(), (ends * size).tolist())]
+        found.append((first + at, n, grams[place[first].astype(np.int64)], np.array(named, np.uint64)))
     return tuple(np.concatenate(x) for x in zip(*found)) if len(found) > 1 else found[0]

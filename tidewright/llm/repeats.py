@@ -4,13 +4,17 @@ Both substring operators share these steps; they differ in units (words or bytes
 window, and in what counts as a repeat.
 
 1. occurrences: every text is cut into segments, runs of windows with one anchor (anchors.segments).
-2. An anchor that occurs once needs no more work. Where all segments of a shared anchor are alike, one
-   aggregate with map-side combination decides for all their windows.
-3. Contested anchors have segments that differ. One segment of each kind is fetched, and windows are
-   compared within the anchor's bucket. Buckets of more than `most` kinds are compared window by window by
-   an aggregate instead, so no task holds an unbounded bucket.
+2. An anchor that occurs once needs no more work. For a shared one, aggregates with map-side combination count
+   the kinds of its segments. Where all are alike, that decides for all their windows; else it decides for
+   those of the most frequent kind, so what a common line or passage brings is settled here.
+3. Contested anchors have segments that differ. One segment of each kind is fetched, and the operator judges
+   their windows bucket by bucket. Buckets of more than `most` kinds are compared window by window by an
+   aggregate instead, so no task holds an unbounded bucket.
 4. Spans go back to their texts by a key.
 
+What is joined on an anchor or a kind is stored first, so both sides of such a join are plain shuffles, which
+Spark splits where one anchor holds many rows.
+
 No step makes rows for pairs; the largest shuffle is the text itself.
 """
 
@@ -24,28 +28,49 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.anchors import Names, segments
-from tidewright.llm.common import NO_ID, stored
+from tidewright.llm.anchors import segments
+from tidewright.llm.common import NO_ID, mix64, removed, stored, tidied
 
 #: Kinds of segments that are compared in one bucket, at most.
 MOST = 20_000
+#: Bytes of buckets that are judged together.
+_JUDGED = 4 << 20
 
 
 @dataclass
 class Kind:
-    """units(text column) yields each text's units as uint64; window and gram count units; with `earlier`
-    only windows of smaller doc_ids count as repeats, else any other place. names: of all windows of a
-    segment, for the bucket comparison."""
+    """units(text column) yields each text's units in `dtype`; table: 64-bit names of units, where units aren't
+    names themselves; window and gram count units; with `earlier` only windows of smaller doc_ids count as
+    repeats, else any other place. judge: which windows repeat, for buckets of segments that are all
+    different: (docs, units) of each bucket's segments; gives an array for each segment."""
 
     units: Callable[[pa.Array], Iterator[np.ndarray]]
     window: int
     gram: int
     earlier: bool
-    names: Callable[[np.ndarray, int], np.ndarray]
-
-
-def rolling_names(units: np.ndarray, window: int) -> np.ndarray:
-    return Names(units).grams(window)
+    judge: Callable[[list[tuple[np.ndarray, list[np.ndarray]]], int], list[np.ndarray]]
+    dtype: str = "<u8"
+    table: np.ndarray | None = None
+
+    def names(self, units: np.ndarray) -> np.ndarray:
+        return window_names(units if self.table is None else self.table[units], self.window)
+
+
+def window_names(units: np.ndarray, window: int) -> np.ndarray:
+    """64-bit names of all windows, by doubling from the names of single units; mixed at each step."""
+    n = len(units) - window + 1
+    names, length = units, 1
+    made, have, rest = None, 0, window
+    while rest:
+        if rest & 1:  # the stretch so far goes on with this round's names, read at its end
+            at = names[have : have + n]
+            made = at.copy() if made is None else mix64(made * np.uint64(0xD6E8FEB86659FD93) + at)
+            have += length
+        rest >>= 1
+        if rest:
+            names = mix64(names[:-length] * np.uint64(0xA0761D6478BD642F) + names[length:])
+            length *= 2
+    return made
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -62,12 +87,13 @@ def keyed(docs: DataFrame) -> DataFrame:
 def occurrences(rows: DataFrame, kind: Kind) -> DataFrame:
     """row, doc, first, n, a, s of each segment of each text."""
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, doc = (batch.column(k).to_numpy() for k in (0, 1))
             found, size = [], 0
             for k, units in enumerate(kind.units(batch.column(2))):
-                first, n, a, s = segments(units, kind.window, kind.gram)
+                first, n, a, s = segments(units, kind.window, kind.gram, kind.table)
                 if len(first):
                     found.append((np.full(len(first), k), first, n, a, s))
                     size += len(first)
@@ -87,18 +113,19 @@ def _occurred(found: list, row: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
 
 
 def _fetched(rows: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
-    """The units of wanted segments (row, doc, first, n, a, s, doc0, m)."""
-    lists = wanted.groupBy("row", "doc").agg(F.collect_list(F.struct("first", "n", "a", "s", "doc0", "m")).alias("segments"))
+    """The units of wanted segments (row, doc, first, n, a, s, doc0, large)."""
+    lists = wanted.groupBy("row", "doc").agg(F.collect_list(F.struct("first", "n", "a", "s", "doc0", "large")).alias("segments"))
 
+    @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "s", "doc0", "m", "n", "units"]
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+        names = ["a", "s", "doc0", "large", "units"]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
         for batch in batches:
             out, size = [], 0
             for some, units in zip(batch.column(1), kind.units(batch.column(0))):
                 for x in some.as_py():
                     part = units[x["first"] : x["first"] + x["n"] - 1 + kind.window]
-                    out.append((x["a"], x["s"], x["doc0"], x["m"], x["n"], part.tobytes()))
+                    out.append((x["a"], x["s"], x["doc0"], x["large"], part.tobytes()))
                     size += part.nbytes
                 if size > 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
@@ -107,51 +134,36 @@ def _fetched(rows: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     joined = rows.select("row", "doc", "text").join(lists, ["row", "doc"]).select("text", "segments")
-    return joined.mapInArrow(run, "a long, s long, doc0 long, m long, n int, units binary")
+    return joined.mapInArrow(run, "a long, s long, doc0 long, large boolean, units binary")
 
 
 _FLAGGED = "a long, s long, flags binary"
 
 
-def _flags_of(a: np.ndarray, s: list[int], n: np.ndarray, hit: np.ndarray) -> list[tuple[int, int, bytes]]:
-    ends = np.cumsum(n)
-    return [(x, y, np.packbits(hit[e - k : e]).tobytes()) for x, y, k, e in zip(a, s, n.tolist(), ends.tolist()) if hit[e - k : e].any()]
-
-
 def _in_buckets(found: DataFrame, kind: Kind) -> DataFrame:
     """Which windows of each segment repeat in other segments of its bucket."""
 
-    def compare(a: int, bucket: list[tuple]) -> list[tuple]:
-        bucket = list({x[0]: x for x in bucket}.values())
-        if len(bucket) < 2:
-            return []
-        names = [kind.names(np.frombuffer(units, np.uint64), kind.window) for _, _, units in bucket]
-        n = np.array([len(x) for x in names])
-        doc = np.repeat(np.array([x[1] for x in bucket], np.int64), n)
-        flat = np.concatenate(names)
-        order = np.lexsort((doc, flat))
-        by_name, by_doc = flat[order], doc[order]
-        first = np.flatnonzero(np.concatenate([[True], by_name[1:] != by_name[:-1]]))
-        count = np.diff(first, append=len(flat))
-        hit = np.empty(len(flat), bool)
-        hit[order] = np.repeat(by_doc[first], count) < by_doc if kind.earlier else np.repeat(count, count) > 1
-        return _flags_of([a] * len(bucket), [x[0] for x in bucket], n, hit)
+    def judged(buckets: list[tuple[int, dict]]) -> pa.RecordBatch | None:
+        ready = [(np.array([d for d, _ in b.values()], np.int64), [np.frombuffer(u, kind.dtype) for _, u in b.values()]) for _, b in buckets]
+        named = [(a, s) for a, b in buckets for s in b]
+        out = [(a, s, np.packbits(hit).tobytes()) for (a, s), hit in zip(named, kind.judge(ready, kind.window)) if hit.any()]
+        kinds = [pa.int64(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], ["a", "s", "flags"]) if out else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, bucket, out = None, [], []
-        names, kinds = ["a", "s", "flags"], [pa.int64(), pa.int64(), pa.binary()]
+        buckets, size = [], 0
         for batch in batches:
             for a, s, doc, units in zip(*(c.to_pylist() for c in batch.columns)):
-                if a != at:
-                    out += compare(at, bucket)
-                    at, bucket = a, []
-                bucket.append((s, doc, units))
-            if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
-                out = []
-        out += compare(at, bucket)
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                if not buckets or a != buckets[-1][0]:
+                    if size > _JUDGED:
+                        if (made := judged(buckets)) is not None:
+                            yield made
+                        buckets, size = [], 0
+                    buckets.append((a, {}))
+                buckets[-1][1][s] = (doc, units)
+                size += len(units)
+        if buckets and (made := judged(buckets)) is not None:
+            yield made
 
     return found.select("a", "s", "doc0", "units").repartition("a").sortWithinPartitions("a").mapInArrow(run, _FLAGGED)
 
@@ -163,7 +175,7 @@ def _by_window(found: DataFrame, kind: Kind) -> DataFrame:
         for batch in batches:
             a, s, doc = (batch.column(k).to_numpy() for k in range(3))
             for lo in range(0, batch.num_rows, 500):
-                names = [kind.names(np.frombuffer(x, np.uint64), kind.window) for x in batch.column(3).slice(lo, 500).to_pylist()]
+                names = [kind.names(np.frombuffer(x, kind.dtype)) for x in batch.column(3).slice(lo, 500).to_pylist()]
                 n = np.array([len(x) for x in names])
                 k = np.repeat(np.arange(lo, lo + len(n)), n)
                 at = np.concatenate([np.arange(x) for x in n])
@@ -200,26 +212,34 @@ def repeated(rows: DataFrame, kind: Kind, most: int = MOST) -> DataFrame:
     compared.
     """
     found = occurrences(rows, kind)
-    total = found.groupBy("a").agg(
-        F.count("*").alias("times"), F.min("doc").alias("doc_min"), F.max("doc").alias("doc_max"), F.min("s").alias("s_min"), F.max("s").alias("s_max")
+    by_kind = found.groupBy("a", "s").agg(F.count("*").alias("times"), F.min("doc").alias("doc0"), F.max("doc").alias("doc1"))
+    total = by_kind.groupBy("a").agg(
+        F.sum("times").alias("times"), F.min("doc0").alias("doc_min"), F.max("doc1").alias("doc_max"), F.count("*").alias("m"), F.max(F.struct("times", "s", "doc0")).alias("top")
     )
-    shared = total.where("doc_min < doc_max" if kind.earlier else "times > 1").select("a", "doc_min", (F.col("s_min") < F.col("s_max")).alias("contested"))
-    known = stored(found.join(shared, "a").where(F.col("contested") | (F.col("doc_min") < F.col("doc")) if kind.earlier else F.lit(True)), "segments")
-    plain = known.where("not contested").select("row", "doc", "first", "n", F.lit(None).cast("binary").alias("flags"))
-
-    contested = known.where("contested")
-    kinds = contested.groupBy("a", "s").agg(F.count("*").alias("times"), F.min("doc").alias("doc0"), F.min(F.struct("doc", "row", "first", "n")).alias("at"))
-    sizes = kinds.groupBy("a").agg(F.count("*").alias("m"))
-    wanted = kinds.join(sizes, "a").select("at.row", "at.doc", "at.first", "at.n", "a", "s", "doc0", "m")
+    shared = total.where("doc_min < doc_max" if kind.earlier else "times > 1")
+    shared = stored(shared.select("a", "doc_min", "m", F.col("top.s").alias("top"), F.col("top.doc0").alias("top_doc"), F.col("top.times").alias("top_times")), "shared")
+    whole_top = F.col("top_doc") < F.col("doc") if kind.earlier else F.col("top_times") > 1
+    known = found.join(shared, "a").where((F.col("m") > 1) | (F.col("doc_min") < F.col("doc")) if kind.earlier else F.lit(True))
+    known = known.withColumns({"contested": F.col("m") > 1, "settled": (F.col("m") == 1) | (F.col("s") == F.col("top")) & whole_top})
+    known = stored(known.drop("doc_min", "top", "top_times"), "segments")
+    removed(shared)
+    plain = known.where("settled").select("row", "doc", "first", "n", F.lit(None).cast("binary").alias("flags"))
+
+    # of a settled kind one document's segments stand for all
+    bucket = known.where("contested and (not settled or doc = top_doc)")
+    kinds = stored(bucket.groupBy("a", "s").agg(F.count("*").alias("times"), F.min("doc").alias("doc0"), F.min(F.struct("doc", "row", "first", "n")).alias("at"), F.max("m").alias("m")), "kinds")
+    wanted = kinds.select("at.row", "at.doc", "at.first", "at.n", "a", "s", "doc0", (F.col("m") > most).alias("large"))
     fetched = stored(_fetched(rows, wanted, kind), "contested")
-    flags = _in_buckets(fetched.where(F.col("m") <= most), kind).unionByName(_by_window(fetched.where(F.col("m") > most), kind))
+    flags = _in_buckets(fetched.where("not large"), kind).unionByName(_by_window(fetched.where("large"), kind))
+    judged = stored(kinds.select("a", "s", "times", "doc0").join(flags, ["a", "s"], "left"), "judged")
+    removed(kinds, fetched)
     whole: Column = F.col("doc0") < F.col("doc") if kind.earlier else F.col("times") > 1
-    judged = (
-        contested.join(kinds.select("a", "s", "times", "doc0"), ["a", "s"]).join(flags, ["a", "s"], "left")
+    hits = (
+        known.where("not settled").select("row", "doc", "first", "n", "a", "s").join(judged, ["a", "s"])
         .where(whole | F.col("flags").isNotNull())
         .select("row", "doc", "first", "n", F.when(whole, F.lit(None).cast("binary")).otherwise(F.col("flags")).alias("flags"))
     )
-    spans = plain.unionByName(judged).distinct()
+    spans = plain.unionByName(hits).distinct()
     return spans.groupBy("row", "doc").agg(F.collect_list(F.struct("first", "n", "flags")).alias("spans"))
 
 

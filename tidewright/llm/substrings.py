@@ -1,56 +1,97 @@
 """Substring dedup over words by relative Lempel-Ziv factors.
 
-Every document is factored against the reference, all documents with smaller doc_ids, which is indexed in
-hash-partitioned blocks of phrases (segments of words owned by one anchor; see repeats). A phrase that a
-block holds from an earlier document joins the factor whole. At the boundaries of factors, where a phrase is
-not held as a whole, its windows are looked up one by one. Runs of matched windows are factors of at least
-`window` words; they become the duplicate spans, and what lies between them is literal.
+The reference of a document is all documents with smaller doc_ids. It is indexed in hash-partitioned blocks:
+the segments of words around one anchor (see repeats), wherever they occur, make a block, and each document
+is parsed against every block that can hold one of its windows. A segment that an earlier document has too is
+one factor. Any other segment is parsed greedily: at a window that the block's index knows from an earlier
+document, the match is extended, symbol by symbol, as far as the reference goes on alike; that is a factor.
+Parsing goes on at the factor's boundary, where the windows that reach over its end are looked up. Factors of
+at least `window` words are the duplicate spans; what lies between them is literal.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm import repeats
-from tidewright.llm.common import NO_ID, words
+from tidewright.llm.common import NO_ID, names, words
 
 WINDOW = 50
 GRAM = 8
 
 
-class WordNames(dict):
-    """64-bit names of words, kept up to a bound."""
-
-    most = 400_000
-
-    def __missing__(self, word: str) -> int:
-        name = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
-        return name
-
-    def of(self, some: list[str]) -> np.ndarray:
-        if len(self) > self.most:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, some), np.uint64, len(some))
-
-
-_names = WordNames()
-
-
 def word_units(texts: pa.Array) -> Iterator[np.ndarray]:
     for k in range(0, len(texts), 500):
         for text in texts.slice(k, 500).to_pylist():
-            yield _names.of(words(text))
+            yield names.of(words(text))
+
+
+def parse(units: np.ndarray, known: np.ndarray, reference: Callable[[int], Iterator[np.ndarray]], window: int) -> list[tuple[int, int]]:
+    """The factors (start, length) of at least `window` units, from left to right. known: window starts whose
+    names the index holds; reference(i): what the reference holds from where it has window i's name on."""
+    factors, at, k = [], 0, 0
+    while k < len(known):
+        at = int(known[k])
+        length = 0
+        for other in reference(at):
+            own = units[at : at + len(other)]
+            differ = np.flatnonzero(own != other[: len(own)])
+            length = int(differ[0]) if len(differ) else len(own)
+            if length >= window:  # names may agree by chance; the next place with this name is tried then
+                break
+        if length >= window:
+            factors.append((at, length))
+            # windows that reach over the factor's end begin here
+            k = int(np.searchsorted(known, at + length - window + 1))
+        else:
+            k += 1
+    return factors
+
+
+def factored(buckets: list[tuple[np.ndarray, list[np.ndarray]]], window: int) -> list[np.ndarray]:
+    """For each segment of each block, which of its windows lie in factors of the block's earlier documents."""
+    return [hit for docs, segments in buckets for hit in _block(docs, segments, window)]
+
+
+def _block(docs: np.ndarray, segments: list[np.ndarray], window: int) -> Iterator[np.ndarray]:
+    length = np.array([len(x) for x in segments])
+    n = length - window + 1
+    start = np.cumsum(length) - length
+    flat = np.concatenate(segments)
+    of = np.repeat(np.arange(len(segments)), n)
+    before = np.cumsum(n) - n
+    place = np.arange(int(n.sum())) - before[of] + start[of]
+    name = repeats.window_names(flat, window)[place]
+    order = np.lexsort((docs[of], name))
+    first = np.flatnonzero(np.concatenate([[True], name[order][1:] != name[order][:-1]]))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.repeat(np.arange(len(first)), np.diff(first, append=len(order)))
+    ends = np.append(first, len(order))
+    # the index gives the earliest document of each window's name first
+    known = docs[of[order[first[group]]]] < docs[of]
+    for k, units in enumerate(segments):
+        lo, hit = int(before[k]), np.zeros(int(n[k]), bool)
+
+        def reference(i: int, lo: int = lo, k: int = k) -> Iterator[np.ndarray]:
+            g = group[lo + i]
+            for at in order[ends[g] : ends[g + 1]].tolist():
+                if docs[of[at]] >= docs[k]:
+                    return
+                yield flat[place[at] : start[of[at]] + length[of[at]]]
+
+        for at, size in parse(units, np.flatnonzero(known[lo : lo + int(n[k])]), reference, window):
+            hit[at : at + size - window + 1] = True
+        yield hit
 
 
 def kind(window: int = WINDOW, gram: int | None = None) -> repeats.Kind:
-    return repeats.Kind(word_units, window, gram or min(GRAM, window), True, repeats.rolling_names)
+    return repeats.Kind(word_units, window, gram or min(GRAM, window), True, factored)
 
 
 def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:

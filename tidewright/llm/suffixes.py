@@ -1,11 +1,11 @@
 """Substring dedup over bytes by bucket-pointer refinement.
 
-Suffixes are put into buckets by the q-gram at their anchor (one sampled suffix for some 80 bytes; every
-200-byte string holds exactly one, so none is missed). Buckets with one suffix are done. The others are
-refined: first by the name of the anchor's whole segment, then position by position by the bucket names of
-later offsets: the name of 2L bytes at i is made of the names of L bytes at i and at i+L, and each round's
-names are what the next round reads, until strings of `window` bytes have names. Names are hashes of
-content, so buckets in different tasks agree without a global sort.
+Suffixes are put into initial buckets by the q-gram at their anchor (one sampled suffix for some 80 bytes;
+every 200-byte string holds exactly one, so none is missed), which a shuffle brings together. Buckets of one
+suffix, and of suffixes that go on alike over the anchor's whole segment, are done. The others are refined to
+the suffixes at every byte: buckets by their first bytes, then sorted by pairs of bucket identifiers, their own
+and that of the suffix at a later offset. A round's new identifiers are what the next round reads at twice the
+offset, up to `window` bytes; a suffix alone in its bucket keeps its identifier and is not sorted again.
 """
 
 from __future__ import annotations
@@ -27,30 +27,52 @@ _BYTE_NAMES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4
 
 
 def byte_units(texts: pa.Array) -> Iterator[np.ndarray]:
-    for raw in utf8_slices(texts):
-        yield _BYTE_NAMES[raw]
-
-
-def refined_names(units: np.ndarray, window: int) -> np.ndarray:
-    """Names of all strings of `window` units, by doubling from the names of single units."""
-    n = len(units) - window + 1
-    names, length = units, 1
-    left, have = None, 0
-    rest = window
-    while rest:
-        if rest & 1:  # the strings so far go on with this round's names, read at their ends
-            at = names[have : have + n]
-            left = at.copy() if left is None else mix64(left * np.uint64(0xD6E8FEB86659FD93) + at)
-            have += length
-        rest >>= 1
-        if rest:
-            names = mix64(names[:-length] * np.uint64(0xA0761D6478BD642F) + names[length:])
-            length *= 2
-    return left
+    yield from utf8_slices(texts)
+
+
+def refined(raw: np.ndarray, left: np.ndarray, window: int) -> np.ndarray:
+    """Bucket identifiers of suffixes by their first `window` bytes. left: how many bytes each suffix has to the
+    end of its sequence; shorter ones are in no bucket (-1)."""
+    depth = min(8, window)
+    some = np.flatnonzero(left >= depth)
+    # the first bytes as one number
+    key = np.zeros(len(some), np.uint64)
+    for k in range(depth):
+        key = (key << np.uint64(8)) | raw[some + k]
+    bucket = np.full(len(raw), -1, np.int64)
+    found, where, count = np.unique(key, return_inverse=True, return_counts=True)
+    bucket[some] = where
+    open_, used = some[count[where] > 1], len(found)
+    while depth < window:
+        step = min(depth, window - depth)
+        # the later offset has its identifier of this round, as it has `depth` bytes left
+        open_ = open_[left[open_] >= depth + step]
+        pair = bucket[open_] * np.int64(used) + bucket[open_ + step]
+        found, where, count = np.unique(pair, return_inverse=True, return_counts=True)
+        bucket[open_] = used + where
+        used += len(found)
+        open_ = open_[count[where] > 1]
+        depth += step
+    bucket[left < window] = -1
+    return bucket
+
+
+def sorted_out(buckets: list[tuple[np.ndarray, list[np.ndarray]]], window: int) -> list[np.ndarray]:
+    """For each segment of each initial bucket, which of its windows stand in a bucket with others."""
+    segments = [x for _, some in buckets for x in some]
+    length = np.array([len(x) for x in segments])
+    left = np.repeat(np.cumsum(length), length) - np.arange(int(length.sum()))
+    bucket = refined(np.concatenate(segments), left, window)
+    known = bucket >= 0
+    count = np.bincount(bucket[known])
+    hit = np.zeros(len(bucket), bool)
+    hit[known] = count[bucket[known]] > 1
+    ends = np.cumsum(length)
+    return [hit[e - n : e - window + 1] for e, n in zip(ends.tolist(), length.tolist())]
 
 
 def kind(window: int = WINDOW, gram: int | None = None) -> repeats.Kind:
-    return repeats.Kind(byte_units, window, gram or min(GRAM, window), False, refined_names)
+    return repeats.Kind(byte_units, window, gram or min(GRAM, window), False, sorted_out, "u1", _BYTE_NAMES)
 
 
 CLEANED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
