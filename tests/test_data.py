@@ -108,9 +108,9 @@ def test_store(spark, tmp_path):
     with pytest.raises(FileExistsError):
         store.save("f", df, "v1")
     second = store.save("f", df.withColumn("y", F.lit(1)), "v2", {"k": 1})
-    assert first["row_count"] == 3 and first["source_hash"] == FeatureStore.content_hash(df.orderBy(F.desc("id"))) != second["source_hash"]
+    assert first["rows"] == 3 and first["hash"] == FeatureStore.content_hash(df.orderBy(F.desc("id"))) != second["hash"]
     assert store.load("f").columns == ["id", "x", "y"] and store.load("f", "v1", ["x"]).columns == ["x"]
-    assert store.load_as_of("f", datetime.fromisoformat(first["created_at"]), ["a"]).count() == 1
+    assert store.load_as_of("f", datetime.fromisoformat(first["saved"]), ["a"]).count() == 1
     with pytest.raises(FileNotFoundError):
         store.load_as_of("f", datetime(2000, 1, 1, tzinfo=UTC))
     assert store.list() == {"f": ["v1", "v2"]} and store.metadata("f")["parameters"] == {"k": 1}

@@ -93,3 +93,32 @@ def test_backtest_with_a_naive_forecast(spark):
     assert found.by_horizon().count() == 14 and found.summary(spark).count() == 2 and found.aggregate()["rmse"] > 0
     with pytest.raises(ValueError):
         backtest.run(panel.limit(0), backtest.seasonal_naive)
+
+
+def test_days_that_a_series_lacks_count_as_zero(spark):
+    rows = [[0, 2, 0, 0, 5, 1, 0], [3, 0, 0, 0, 0, 0, 0], [1, 1, 1, 1, 1, 1, 1], [0, 0, 4, 0, 0, 0, 2]]
+    dense = history(spark, rows)
+    want = {r.id: r.scale for r in M.scales(dense, ["id"]).collect()}
+    got = {r.id: r.scale for r in M.scales(dense.where("sales > 0"), ["id"]).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k]) for k in want)
+
+
+def test_a_missing_test_day_makes_the_score_nan(spark):
+    train = history(spark, [[1, 2, 3, 4, 3, 2, 5], [4, 1, 0, 2, 2, 3, 1]]).withColumns({"item_id": F.col("id"), "sell_price": F.lit(2.0)})
+    test = train.withColumns({"date": F.date_add("date", 7), "prediction": F.lit(1.0)})
+    got = {r.level: r.wrmsse for r in M.hierarchical_wrmsse(train, test.where(~((F.col("id") == "s0") & (F.dayofmonth("date") == 9)))).collect()}
+    assert math.isnan(got["series"]) and math.isnan(got["item"]) and got["total"] > 0
+    flat = train.withColumn("sales", F.lit(3.0))
+    with pytest.raises(ValueError):
+        M.overall(M.hierarchical_wrmsse(flat, test))
+    with pytest.raises(ValueError):
+        M.score(flat, test)
+
+
+def test_record_has_both_scaled_errors(spark):
+    train = history(spark, [[k % 7 + 1 for k in range(30)], [(3 * k) % 11 for k in range(30)]])
+    test = train.where("day(date) <= 7").withColumns({"date": F.date_add("date", 30), "prediction": F.lit(2.0)})
+    row = M.record(train, test).first()
+    step = M.seasonal_scale(train, ["date"], ["id"], "sales", 7)
+    assert row.n_samples == 14 and row.mase > 0 and step.count() == 2
+    assert math.isclose(row.wrmsse, M.overall(M.hierarchical_wrmsse(train, test, levels=[("series", ("id",))])))

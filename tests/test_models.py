@@ -85,3 +85,18 @@ def test_scoring_service(spark, rows):
     with pytest.raises(ValueError):
         service.predict(asked, most=2)
     assert service.stats()["errors"] == 1 and service.health()["status"] == "healthy" and service.info()["n_features"] == 4
+
+
+def test_tweedie_fits_features_of_any_size(spark):
+    """Unscaled lags and prices in the thousands, mostly zero sales: the log link stays within bounds."""
+    df = spark.range(1500).withColumns({"lag": F.pow(F.rand(4), 6) * 50_000, "price": F.rand(5) * 9000, "flat": F.lit(7.0)})
+    df = df.withColumn("sales", F.when(F.rand(6) < 0.8, 0.0).otherwise(F.floor(F.col("lag") / 300)))
+    model = models.Forecaster(models.ModelConfig(objective="tweedie")).fit(df, ["lag", "price", "flat"])
+    made = model.predict(df)
+    assert made.where("isnan(prediction) or prediction is null or prediction < 0").isEmpty()
+    assert error(made) < df.agg(F.stddev("sales")).first()[0] * 1.5
+
+
+def test_one_seed_gives_one_model(rows):
+    make = lambda df: models.Forecaster(models.ModelConfig(trees=4, depth=3)).fit(df, ["x1", "x2", "store"]).predict(rows.limit(50)).select("prediction").collect()
+    assert make(rows) == make(rows.repartition(3).orderBy(F.desc("x1")))

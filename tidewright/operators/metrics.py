@@ -6,7 +6,6 @@ pivoted, so the score costs one shuffle on (level, key, date) at any number of s
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -107,15 +106,32 @@ def compare(df: DataFrame, models: Sequence[str], y: str = "actual") -> DataFram
 # --- scaled errors ---------------------------------------------------------------------------------------
 
 
+def day_numbers(df: DataFrame, date: str = "date") -> DataFrame:
+    """The distinct days of df and their numbers from 1: a row for each day of a calendar, whose size is fixed."""
+    return df.select(date).distinct().withColumn("_day", F.row_number().over(Window.orderBy(date)))
+
+
 def scales(df: DataFrame, by: Sequence[str], y: str = "sales", date: str = "date") -> DataFrame:
-    """scale: the mean squared day-on-day difference from the first non-zero value on; nulls are 0; 0 if there
-    are fewer than two such values."""
-    w = Window.partitionBy(*by).orderBy(date)
-    x = F.coalesce(F.col(y), F.lit(0.0))
-    df = df.select(*by, date, x.alias("_x"))
-    df = df.withColumns({"_old": F.lag("_x").over(w), "_begun": F.max((F.col("_x") != 0).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))})
-    step = F.when(F.col("_begun") == 1, F.pow(F.col("_x") - F.col("_old"), 2))
-    return df.groupBy(*by).agg(F.coalesce(F.avg(step), F.lit(0.0)).alias("scale"))
+    """scale: the mean squared day-on-day difference from the first non-zero value on, over all days that df
+    has; nulls and days that a series lacks are 0; 0 if there are fewer than two such values.
+
+    Missing days are not filled in: a stretch of them between two rows is a step down to 0, steps of 0, and a
+    step up again, and after the last row a step down.
+    """
+    days = day_numbers(df, date)
+    w = Window.partitionBy(*by).orderBy("_day")
+    rows = df.select(*by, date, F.coalesce(F.col(y), F.lit(0.0)).alias("_x")).join(F.broadcast(days), date).select(*by, "_x", "_day")
+    rows = rows.withColumns({"_old": F.lag("_x").over(w), "_gap": F.col("_day") - F.lag("_day").over(w), "_begun": F.max((F.col("_x") != 0).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, -1))})
+    step = F.when(F.col("_gap") == 1, F.pow(F.col("_x") - F.col("_old"), 2)).otherwise(F.pow("_old", 2) + F.pow("_x", 2))
+    begun = F.col("_begun") == 1
+    per = rows.groupBy(*by).agg(
+        F.coalesce(F.sum(F.when(begun, step)), F.lit(0.0)).alias("_sum"), F.coalesce(F.sum(F.when(begun, F.col("_gap"))), F.lit(0)).alias("_n"),
+        F.max("_day").alias("_last"), F.max_by("_x", "_day").alias("_end"), F.max((F.col("_x") != 0).cast("int")).alias("_any"),
+    )
+    short = days.agg(F.max("_day")).scalar() - F.col("_last")
+    last = (short > 0) & (F.col("_any") == 1)
+    total = F.col("_sum") + F.when(last, F.pow("_end", 2)).otherwise(0.0)
+    return per.select(*by, F.coalesce(F.try_divide(total, F.col("_n") + F.when(last, short).otherwise(0)), F.lit(0.0)).alias("scale"))
 
 
 def dollars(df: DataFrame, days: int, last, y: str = "sales", price: str = "sell_price", date: str = "date") -> Column:
@@ -127,15 +143,17 @@ def dollars(df: DataFrame, days: int, last, y: str = "sales", price: str = "sell
 
 
 def row_weights(train: DataFrame, days: int = 28, y: str = "sales", price: str = "sell_price", date: str = "date") -> DataFrame:
-    """train with row_weight: the series' share of recent dollars over its scale, averaging 1 over rows."""
-    last = train.agg(F.max(date)).first()[0]
-    per = train.groupBy("id").agg(F.sum(dollars(train, days, last, y, price, date)).alias("w")).join(scales(train, ["id"], y, date), "id")
-    total = per.agg(F.sum("w")).first()[0] or 0.0
-    share = F.col("w") / total if total > 0 else F.lit(1.0)
-    per = per.select("id", F.when(F.col("scale") > 0, F.try_divide(share, F.col("scale"))).otherwise(0.0).alias("_ratio"))
-    joined = train.join(per, "id", "left")
-    mean = joined.agg(F.avg("_ratio")).first()[0] or 0.0
-    return joined.withColumn("row_weight", F.col("_ratio") / mean if mean > 0 else F.col("_ratio")).drop("_ratio")
+    """train with row_weight: the series' share of recent dollars over its scale, averaging 1 over rows. A
+    series' share needs no total: it drops out of the average. Without any dollars all shares are equal."""
+    last = train.agg(F.max(date)).scalar()
+    per = train.groupBy("id").agg(F.sum(dollars(train, days, last, y, price, date)).alias("_w"), F.count(F.lit(1)).alias("_n")).join(scales(train, ["id"], y, date), "id")
+    ratio = lambda w: F.when(F.col("scale") > 0, F.try_divide(w, F.col("scale"))).otherwise(0.0)
+    per = per.select("id", "_n", "_w", ratio(F.col("_w")).alias("_r"), ratio(F.lit(1.0)).alias("_even"))
+    mean = lambda c: F.try_divide(F.sum(F.col(c) * F.col("_n")), F.sum("_n"))
+    whole = per.agg(F.struct((F.sum("_w") > 0).alias("paid"), mean("_r").alias("r"), mean("_even").alias("even"))).scalar()
+    own, average = F.when(whole["paid"], F.col("_r")).otherwise(F.col("_even")), F.when(whole["paid"], whole["r"]).otherwise(whole["even"])
+    weights = per.select("id", F.when(average > 0, own / average).otherwise(own).alias("row_weight"))
+    return train.join(weights, "id", "left")
 
 
 def weighted(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -148,36 +166,76 @@ def weighted(series: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return valid.groupBy(*by).agg(score.alias("wrmsse"), F.count(F.lit(1)).alias("n_series"))
 
 
-def exploded(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]], *keep: Column) -> DataFrame:
-    """Each row once for each level whose key columns exist: level, key and the kept columns."""
+def exploded(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]], *keep: str) -> DataFrame:
+    """Each row once for each level: level, key and the kept columns."""
+    pairs = F.array(*(F.struct(F.lit(n).alias("level"), (F.concat_ws("\x1f", *k) if k else F.lit("all")).alias("key")) for n, k in levels))
+    return df.select(F.explode(pairs).alias("_at"), *keep).select("_at.level", "_at.key", *keep)
+
+
+def usable_levels(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]] = TWELVE_LEVELS) -> list[tuple[str, Sequence[str]]]:
+    """The levels whose key columns df has; ValueError without any."""
     usable = [(n, k) for n, k in levels if set(k) <= set(df.columns)]
     if not usable:
-        raise ValueError("None of the hierarchy levels' columns are present")
-    pairs = F.array(*(F.struct(F.lit(n).alias("level"), (F.concat_ws("\x1f", *k) if k else F.lit("all")).alias("key")) for n, k in usable))
-    return df.select(F.explode(pairs).alias("_at"), *keep).select("_at.level", "_at.key", *(c for c in df.select(*keep).columns))
+        raise ValueError("no level can be formed from the columns given")
+    return usable
+
+
+def by_level(df: DataFrame, levels: Sequence[tuple[str, Sequence[str]]], date: str, **sums: Column) -> DataFrame:
+    """level, key, date and sums for each level whose key columns exist. Levels without items are summed from
+    rows that were summed over items first, so that only the levels with items see every row."""
+    usable = usable_levels(df, levels)
+    fine = [(n, k) for n, k in usable if {"id", "item_id"} & set(k)]
+    coarse = [(n, k) for n, k in usable if not {"id", "item_id"} & set(k)]
+    add = lambda rows, *by: rows.groupBy(*by, "date").agg(*(F.sum(c).alias(c) for c in sums))
+    out = None
+    for some in (fine, coarse):
+        if not some:
+            continue
+        keys = sorted({c for _, k in some for c in k})
+        rows = df.select(*keys, F.col(date).alias("date"), *(c.alias(n) for n, c in sums.items()))
+        rows = exploded(add(rows, *keys) if some is coarse else rows, some, "date", *sums)
+        out = rows if out is None else out.unionByName(rows)
+    return add(out, "level", "key")
 
 
 def hierarchical_wrmsse(train: DataFrame, evaluation: DataFrame, days: int = 28, levels: Sequence[tuple[str, Sequence[str]]] = TWELVE_LEVELS, y: str = "sales", p: str = "prediction", price: str = "sell_price", date: str = "date") -> DataFrame:
     """level, wrmsse, n_series of each level that the columns allow. Evaluation keys without history are
-    left out. The overall score is the mean of the levels (see overall())."""
-    last = train.agg(F.max(date)).first()[0]
+    left out; a key that lacks a day of the evaluation, or all of whose values on a day are null, makes its
+    level NaN. A level none of whose keys has a scale gives no row (overall() refuses that)."""
+    last = train.agg(F.max(date)).scalar()
     # decimals make dollar sums exact in any order
     value = dollars(train, days, last, y, price, date).cast("decimal(38,10)")
-    history = exploded(train, levels, F.col(date).alias("date"), F.col(y).alias("y"), value.alias("v"))
-    history = history.groupBy("level", "key", "date").agg(F.coalesce(F.sum("y"), F.lit(0.0)).alias("y"), F.sum("v").alias("v"))
+    history = by_level(train, levels, date, y=F.col(y), v=value)
     per = scales(history, ["level", "key"], "y").join(history.groupBy("level", "key").agg(F.sum("v").cast("double").alias("weight")), ["level", "key"])
-    cells = exploded(evaluation, levels, F.col(date).alias("date"), F.col(y).alias("y"), F.col(p).alias("p"))
-    cells = cells.groupBy("level", "key", "date").agg(F.coalesce(F.sum("y"), F.lit(0.0)).alias("y"), F.coalesce(F.sum("p"), F.lit(0.0)).alias("p"))
-    errors = cells.groupBy("level", "key").agg(F.avg(F.pow(F.col("y") - F.col("p"), 2)).alias("mse"))
+    cells = by_level(evaluation, levels, date, y=F.col(y), p=F.col(p))
+    n_days = evaluation.agg(F.count_distinct(date)).scalar()
+    square = F.pow(F.col("y") - F.col("p"), 2)
+    errors = cells.groupBy("level", "key").agg(F.when(F.count(square) == n_days, F.avg(square)).alias("mse"))
     return weighted(per.join(errors, ["level", "key"], "left"), ["level"])
 
 
-def overall(scores: DataFrame) -> float:
-    return float(scores.agg(F.avg("wrmsse")).first()[0] if not scores.isEmpty() else math.nan)
+def overall(scores: DataFrame, levels: int | None = None) -> float:
+    """The mean of the levels' scores; ValueError where no level, or not each of so many, has a score."""
+    row = scores.agg(F.avg("wrmsse"), F.count(F.lit(1))).first()
+    if not row[1] or (levels is not None and row[1] < levels):
+        raise ValueError("a level has no series with a scale, so its scaled error is undefined")
+    return float(row[0])
+
+
+def record(train: DataFrame, evaluation: DataFrame, y: str = "sales", p: str = "prediction", season: int = 7, order: Sequence[str] = ("id", "date")) -> DataFrame:
+    """One row: pooled() with mase (the mean absolute error over the mean seasonal step of all training series)
+    and the series-level wrmsse."""
+    *by, last = order
+    step = train.withColumn("_step", F.abs(F.col(y) - F.lag(y, season).over(Window.partitionBy(*by).orderBy(last))))
+    scale = step.agg(F.avg("_step")).scalar()
+    error = hierarchical_wrmsse(train, evaluation, levels=[("series", ("id",))], y=y, p=p, date=last).select("wrmsse").scalar()
+    return pooled(evaluation, y, p, order).withColumns({"mase": mase(F.col("mae"), scale), "wrmsse": error})
 
 
 def score(train: DataFrame, evaluation: DataFrame, y: str = "sales", p: str = "prediction") -> dict:
     """12-level and series-level weighted scaled error, rmse, mae, and each level's score."""
     levels = {r.level: r.wrmsse for r in hierarchical_wrmsse(train, evaluation, y=y, p=p).collect()}
+    if not levels:
+        raise ValueError("no series has a scale, so the scaled error is undefined")
     point = evaluation.agg(rmse(y, p).alias("rmse"), mae(y, p).alias("mae")).first()
     return {"wrmsse": sum(levels.values()) / len(levels), "wrmsse_series_level": levels.get("series"), "rmse": point.rmse, "mae": point.mae, "wrmsse_by_level": {k: round(v, 6) for k, v in levels.items()}}

@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass, field
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ MISSING = -1.0
 @dataclass
 class ModelConfig:
     """objective: squared (boosted trees; pass row weights for the scaled-error surrogate) or tweedie
-    (generalised linear, log link)."""
+    (generalised linear, log link, on standardised features)."""
 
     objective: str = "squared"
     variance_power: float = 1.5
@@ -84,12 +84,17 @@ class Forecaster:
         indexers = [StringIndexer(inputCol=f"_s_{c}", outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in self.strings]
         inputs = [f"_x_{c}" for c in numeric] + [f"_n_{c}" for c in self.nullable] + [f"_i_{c}" for c in self.strings]
         ready = self._ready(df).withColumn("_y", F.col(target).cast("double"))
+        order = F.xxhash64(*(c for c in ready.columns if c[:3] in ("_x_", "_n_", "_s_")), "_y")
+        ready = ready.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), order).sortWithinPartitions(order)
         indexed = [i.fit(ready) for i in indexers]
         widest = max((len(i.labels) + 1 for i in indexed), default=2)
         assembler = VectorAssembler(inputCols=inputs, outputCol="_features")
         c = self.config
+        scaling = []
         if c.objective == "tweedie":
-            last = GeneralizedLinearRegression(family="tweedie", variancePower=c.variance_power, linkPower=0.0, featuresCol="_features", labelCol="_y", predictionCol="prediction", regParam=c.regularisation, maxIter=25)
+            # the log link's predictor stays within bounds only where features are of like size
+            scaling = [StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)]
+            last = GeneralizedLinearRegression(family="tweedie", variancePower=c.variance_power, linkPower=0.0, featuresCol="_scaled", labelCol="_y", predictionCol="prediction", regParam=c.regularisation, maxIter=25)
             ready = ready.where(f"not {validation}") if validation else ready
             last = last.setWeightCol(weight) if weight else last
         else:
@@ -98,8 +103,11 @@ class Forecaster:
             last = last.setValidationIndicatorCol(validation) if validation else last
         for stage in (*indexed, assembler):
             ready = stage.transform(ready)
-        keep = ["_features", "_y", *([weight] if weight else []), *([validation] if validation and c.objective != "tweedie" else [])]
-        self.model = PipelineModel([*indexed, assembler, last.fit(ready.select(*keep))])
+        scaled = [x.fit(ready) for x in scaling]
+        for stage in scaled:
+            ready = stage.transform(ready)
+        keep = ["_scaled" if scaled else "_features", "_y", *([weight] if weight else []), *([validation] if validation and c.objective != "tweedie" else [])]
+        self.model = PipelineModel([*indexed, assembler, *scaled, last.fit(ready.select(*keep))])
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
@@ -110,7 +118,7 @@ class Forecaster:
 
     def importance(self, spark: SparkSession) -> DataFrame:
         """feature, importance, importance_normalized, cumulative_importance, most important first."""
-        model, assembler = self.model.stages[-1], self.model.stages[-2]
+        model, assembler = self.model.stages[-1], next(x for x in self.model.stages if isinstance(x, VectorAssembler))
         values = model.featureImportances.toArray() if hasattr(model, "featureImportances") else np.abs(model.coefficients.toArray())
         total: dict[str, float] = {}
         for c, v in zip(assembler.getInputCols(), values):

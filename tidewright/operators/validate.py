@@ -1,4 +1,5 @@
-"""Declared schemas, business rules and feature checks, each in one pass over the data."""
+"""Declared schemas, business rules and feature checks: an aggregate for all rules, two more for outliers and
+one for repeated keys."""
 
 from __future__ import annotations
 
@@ -99,14 +100,25 @@ def validate(df: DataFrame, schema: str = "sales", null_threshold: float = 0.05,
     return out
 
 
+def _correlation(a: str, b: str):
+    """Pearson's, over rows that have both; null where one is constant, on which corr() would fail."""
+    sd = lambda x, y: F.stddev_samp(F.when(F.col(y).isNotNull(), F.col(x)))
+    return F.try_divide(F.covar_samp(a, b), sd(a, b) * sd(b, a))
+
+
+def correlations(df: DataFrame, pairs: list[tuple[str, str]]) -> dict[tuple[str, str], float | None]:
+    """The correlation of each pair of columns, in one pass."""
+    row = df.agg(F.lit(0), *(_correlation(a, b) for a, b in pairs)).first()
+    return dict(zip(pairs, row[1:]))
+
+
 def validate_features(df: DataFrame, target: str = "sales") -> Validation:
     """Infinite values (errors), constant columns and nearly equal pairs (warnings) of numeric columns."""
     numeric = [c for c, t in df.dtypes if t in ("double", "float", "int", "bigint", "smallint", "tinyint")]
     aggs = [F.count_if(F.abs(F.col(c).cast("double")) == float("inf")).alias(f"inf{k}") for k, c in enumerate(numeric)]
     aggs += [F.stddev_samp(F.when(F.abs(F.col(c).cast("double")) != float("inf"), F.col(c))).alias(f"sd{k}") for k, c in enumerate(numeric)]
     pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
-    sd = lambda x, y: F.stddev_samp(F.when(F.col(y).isNotNull(), F.col(x)))  # noqa: E731  corr() fails on constants
-    aggs += [F.try_divide(F.covar_samp(a, b), sd(a, b) * sd(b, a)).alias(f"corr{k}") for k, (a, b) in enumerate(pairs)]
+    aggs += [_correlation(a, b).alias(f"corr{k}") for k, (a, b) in enumerate(pairs)]
     row = df.agg(F.count(F.lit(1)).alias("n"), *aggs, *(null_share(df, c).alias(f"null{k}") for k, c in enumerate(df.columns))).first()
     out = Validation(True, row_count=row.n)
     for k, c in enumerate(numeric):
@@ -124,9 +136,8 @@ def validate_features(df: DataFrame, target: str = "sales") -> Validation:
 
 
 def unchanged_by_future(build, panel: DataFrame, origin, columns: list[str]) -> bool:
-    """Whether features after the origin stay the same when the hidden actuals are scrambled."""
-    from tidewright.operators.prepare import hide_after
-
+    """Whether what build(panel) gives after the origin stays the same when the sales after it are scrambled:
+    build has to hide them itself."""
     scrambled = panel.withColumn("sales", F.when(F.col("date") > F.lit(origin), F.pmod(F.xxhash64("id", "date"), F.lit(1000)).cast("double")).otherwise(F.col("sales")))
-    one, two = (build(hide_after(x, origin)).where(F.col("date") > F.lit(origin)).select("id", "date", *columns) for x in (panel, scrambled))
+    one, two = (build(x).where(F.col("date") > F.lit(origin)).select("id", "date", *columns) for x in (panel, scrambled))
     return one.exceptAll(two).isEmpty() and two.exceptAll(one).isEmpty()

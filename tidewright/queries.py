@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidewright.functions import calendar as cal
 from tidewright.operators import backtest, features as X, metrics as M, prepare, scoring, store, validate
 from tidewright.sources import loader
-from tidewright.sources.panel import SINCE, demand_panel, fill_forward, table
+from tidewright.sources.panel import demand_panel, fill_forward, table
 
 #: Days held out, and the last day before them; the panel ends on the same day at every scale factor.
 HORIZON = 28
@@ -22,7 +22,7 @@ WITH sold AS (
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / SUM(l_quantity) AS day_price
   FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE CAST(l_shipdate AS DATE) >= DATE '{SINCE}' GROUP BY 1, 2, 3, 4),
+  WHERE l_shipdate IS NOT NULL GROUP BY 1, 2, 3, 4),
 days AS (SELECT CAST(UNNEST(GENERATE_SERIES(MIN(date), MAX(date), INTERVAL 1 DAY)) AS DATE) AS date FROM sold),
 series AS (SELECT DISTINCT item_id, store_id, state_id FROM sold),
 grid AS (SELECT s.item_id, s.store_id, s.state_id, d.date, COALESCE(x.qty, 0) AS sales, x.day_price
@@ -103,40 +103,44 @@ def store_filter_scan(spark, sf_dir):
     return table(spark, sf_dir, "supplier").where(F.col("s_nationkey").isin(3, 7, 11)).select("s_suppkey", "s_name", "s_acctbal")
 
 
-_FIRST = f"first AS (SELECT id, item_id, store_id, date, sales, 'd_' || (DATE_DIFF('day', (SELECT MIN(date) FROM panel), date) + 1) AS d FROM panel WHERE date < (SELECT MIN(date) FROM panel) + 28)"
+#: Every day of the panel: a row for each series and 28 days, so that the number of columns is fixed.
+_STRETCHES = "lo AS (SELECT MIN(date) AS lo FROM panel), stretches AS (SELECT id || '_' || (DATE_DIFF('day', lo, date) // 28) AS id, item_id, store_id, sales, 'd_' || (DATE_DIFF('day', lo, date) % 28 + 1) AS d FROM panel, lo)"
 
 
-def _first_days(spark, sf_dir) -> DataFrame:
+def _stretches(spark, sf_dir) -> DataFrame:
     panel = demand_panel(spark, sf_dir)
-    lo = panel.agg(F.min("date")).first()[0]
-    return panel.where(F.col("date") < F.lit(lo + timedelta(28))).select("id", "item_id", "store_id", F.concat(F.lit("d_"), F.datediff("date", F.lit(lo)) + 1).alias("d"), "sales")
+    day = F.datediff("date", F.lit(panel.agg(F.min("date")).first()[0]))
+    return panel.select(F.concat_ws("_", "id", F.floor(day / 28)).alias("id"), "item_id", "store_id", F.concat(F.lit("d_"), day % 28 + 1).alias("d"), "sales")
 
 
 _DAYS = [f"d_{k}" for k in range(1, 29)]
 
 
-@query(f"WITH {PANEL_SQL}, {_FIRST} SELECT id, item_id, store_id, " + ", ".join(f"SUM(CASE WHEN d = '{d}' THEN sales END) AS {d}" for d in _DAYS) + " FROM first GROUP BY 1, 2, 3")
+@query(f"WITH {PANEL_SQL}, {_STRETCHES} SELECT id, item_id, store_id, " + ", ".join(f"SUM(CASE WHEN d = '{d}' THEN sales END) AS {d}" for d in _DAYS) + " FROM stretches GROUP BY 1, 2, 3")
 def long_to_wide(spark, sf_dir):
-    return loader.to_wide(_first_days(spark, sf_dir), _DAYS)
+    return loader.to_wide(_stretches(spark, sf_dir), _DAYS)
 
 
-@query(f"WITH {PANEL_SQL}, {_FIRST} SELECT id, item_id, store_id, d, sales FROM first")
+@query(f"WITH {PANEL_SQL}, {_STRETCHES} SELECT id, item_id, store_id, d, sales FROM stretches")
 def wide_to_long(spark, sf_dir):
-    return loader.to_long(loader.to_wide(_first_days(spark, sf_dir), _DAYS))
+    return loader.to_long(loader.to_wide(_stretches(spark, sf_dir), _DAYS)).where("sales is not null")  # days after the last
 
 
 @query(f"""WITH {PANEL_SQL}, cal AS (SELECT 'd_' || ROW_NUMBER() OVER (ORDER BY date) AS d, date FROM (SELECT DISTINCT date FROM panel)),
-snaps AS (SELECT d, date, DAY(date) % 2 AS asia, DAY(date) % 3 AS europe FROM cal)
-SELECT p.id, p.date, p.sales, CAST(CASE p.state_id WHEN 'ASIA' THEN asia WHEN 'EUROPE' THEN europe ELSE 0 END AS INT) AS snap FROM panel p JOIN snaps s ON p.date = s.date""")
+snaps AS (SELECT d, date, ISOYEAR(date) * 100 + WEEKOFYEAR(date) AS week, DAY(date) % 2 AS asia, DAY(date) % 3 AS europe FROM cal),
+prices AS (SELECT store_id, item_id, ISOYEAR(date) * 100 + WEEKOFYEAR(date) AS week, MAX(sell_price) AS week_price FROM panel WHERE DAY(date) % 7 <> 0 GROUP BY 1, 2, 3)
+SELECT p.id, p.date, p.sales, CAST(CASE p.state_id WHEN 'ASIA' THEN asia WHEN 'EUROPE' THEN europe ELSE 0 END AS INT) AS snap, week_price AS sell_price
+FROM panel p JOIN snaps s ON p.date = s.date LEFT JOIN prices w ON w.store_id = p.store_id AND w.item_id = p.item_id AND w.week = s.week""")
 def own_state_snap(spark, sf_dir):
-    """Sales joined to a calendar by day label; each row gets its own state's flag."""
+    """Sales joined to a calendar by day label and to weekly prices; each row gets its own state's flag."""
     panel = demand_panel(spark, sf_dir)
     lo = panel.agg(F.min("date")).first()[0]
     label = F.concat(F.lit("d_"), F.datediff("date", F.lit(lo)) + 1)
-    days = panel.select("date").distinct().select("date", label.alias("d"), (F.dayofmonth("date") % 2).alias("snap_ASIA"), (F.dayofmonth("date") % 3).alias("snap_EUROPE"))
-    sales = panel.withColumn("d", label).drop("date", "sell_price").withColumn("wm_yr_wk", F.lit(1))
-    prices = panel.limit(0).select("store_id", "item_id", F.lit(1).alias("wm_yr_wk"), "sell_price")
-    return loader.merge(sales, days, prices).select("id", "date", "sales", F.col("snap").cast("int"))
+    week = cal.week_label("date")
+    days = panel.select("date").distinct().select("date", label.alias("d"), week.alias("wm_yr_wk"), (F.dayofmonth("date") % 2).alias("snap_ASIA"), (F.dayofmonth("date") % 3).alias("snap_EUROPE"))
+    prices = panel.where(F.dayofmonth("date") % 7 != 0).groupBy("store_id", "item_id", week.alias("wm_yr_wk")).agg(F.max("sell_price").alias("sell_price"))
+    sales = panel.withColumn("d", label).drop("date", "sell_price")
+    return loader.merge(sales, days, prices).select("id", "date", "sales", F.col("snap").cast("int"), "sell_price")
 
 
 # --- masks and splits ------------------------------------------------------------------------------------
@@ -370,11 +374,24 @@ def clip_outliers(spark, sf_dir):
     return panel.select(*KEYS, prepare.clip("sales", prepare.nearest_quantile(panel, "sales", 0.99)).alias("sales"))
 
 
-@query(f"WITH {PANEL_SQL}, s AS (SELECT AVG(sell_price) AS m, STDDEV_SAMP(sell_price) AS sd FROM panel) SELECT id, date, {s4('(sell_price - m) / sd')} AS sell_price_normalized FROM panel, s")
+@query(f"WITH {PANEL_SQL}, s AS (SELECT AVG(sell_price) AS m, STDDEV_SAMP(sell_price) AS sd FROM panel) SELECT id, date, {s4('CAST(CAST((sell_price - m) / sd AS FLOAT) AS DOUBLE)')} AS sell_price_normalized FROM panel, s")
 def normalize_price(spark, sf_dir):
     panel = demand_panel(spark, sf_dir)
-    m, sd = panel.agg(F.avg("sell_price"), F.stddev_samp("sell_price")).first()
-    return rounded(panel.select(*KEYS, ((F.col("sell_price") - m) / sd).alias("sell_price_normalized")))
+    made = prepare.Preprocessor(clip_outliers=False, normalize_prices=True).fit(panel).transform(panel)
+    return rounded(made.select(*KEYS, F.col("sell_price_normalized").cast("float").cast("double").alias("sell_price_normalized")))
+
+
+@query(f"""WITH {SPLIT_SQL}, holes AS (SELECT id, item_id, store_id, date, CASE WHEN date > o THEN NULL ELSE sales END AS sales, CASE WHEN DAY(date) % 3 = 0 THEN NULL ELSE sell_price END AS sell_price FROM panel, origin),
+r AS (SELECT sales, ROW_NUMBER() OVER (ORDER BY sales) - 1 AS k, COUNT(*) OVER () AS n FROM holes WHERE sales IS NOT NULL), cap AS (SELECT sales AS c FROM r WHERE k = CAST(FLOOR(0.99 * (n - 1) + 0.5) AS BIGINT)),
+pr AS (SELECT sell_price, ROW_NUMBER() OVER (ORDER BY sell_price) - 1 AS k, COUNT(*) OVER () AS n FROM holes WHERE sell_price IS NOT NULL), pcap AS (SELECT sell_price AS pc FROM pr WHERE k = CAST(FLOOR(0.99 * (n - 1) + 0.5) AS BIGINT)),
+filled AS (SELECT id, date, COALESCE(sales, 0) AS sales, LAST_VALUE(sell_price IGNORE NULLS) OVER (PARTITION BY item_id, store_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sell_price FROM holes)
+SELECT id, date, CAST(CAST(GREATEST(0, LEAST(sales, c)) AS FLOAT) AS DOUBLE) AS sales, CAST(CAST(CASE WHEN sell_price IS NOT NULL THEN GREATEST(0, LEAST(sell_price, pc)) END AS FLOAT) AS DOUBLE) AS sell_price FROM filled, cap, pcap""")
+def preprocess_panel(spark, sf_dir):
+    """Preprocessor with its defaults over a panel with hidden sales and missing prices."""
+    panel, _, _, origin = parts(spark, sf_dir)
+    holes = prepare.hide_after(panel, origin).withColumn("sell_price", F.when(F.dayofmonth("date") % 3 != 0, F.col("sell_price")))
+    made = prepare.Preprocessor().fit(holes).transform(holes)
+    return made.select(*KEYS, *(F.col(c).cast("float").cast("double").alias(c) for c in ("sales", "sell_price")))
 
 
 # --- baselines and metrics -------------------------------------------------------------------------------
@@ -494,6 +511,48 @@ def hierarchical_wrmsse(spark, sf_dir):
     return rounded(M.hierarchical_wrmsse(train, backtest.seasonal_naive(train, test)))
 
 
+_NAIVE_ERROR = "SELECT id, AVG(POW(sales - prediction, 2)) AS mse FROM naive GROUP BY id"
+
+
+@query(f"""WITH {_SERIES}, er AS ({_NAIVE_ERROR}), st AS (SELECT AVG(ABS(sales - old)) AS step FROM (SELECT sales, LAG(sales, 7) OVER {W}) AS old FROM train)), ws AS (SELECT SUM(w * SQRT(mse / scale)) / SUM(w) AS x FROM sc JOIN wt USING (id) JOIN er USING (id) WHERE scale > 0)
+SELECT {s4('SQRT(AVG(POW(sales - prediction, 2)))')} AS rmse, {s4('AVG(ABS(sales - prediction))')} AS mae, {s4('AVG(ABS(sales - prediction)) / (SELECT step FROM st)')} AS mase, {s4('(SELECT x FROM ws)')} AS wrmsse, COUNT(*) AS n_samples FROM naive""")
+def metrics_record(spark, sf_dir):
+    """The pooled record with both scaled errors."""
+    _, train, test, _ = parts(spark, sf_dir)
+    return rounded(M.record(train, backtest.seasonal_naive(train, test)).select("rmse", "mae", "mase", "wrmsse", "n_samples"))
+
+
+#: A panel with missing days: those of a month divisible by 5, in stores whose names begin with A to M.
+_LACKS = "(DAY(date) % 5 = 0 AND store_id < 'N')"
+
+
+def _lacking(df: DataFrame) -> DataFrame:
+    return df.where(~((F.dayofmonth("date") % 5 == 0) & (F.col("store_id") < "N")))
+
+
+_SPARSE = f"""{SPLIT_SQL}, had AS (SELECT train.* FROM train WHERE NOT {_LACKS}), hd AS (SELECT DISTINCT date FROM had),
+hs AS (SELECT DISTINCT id, item_id, dept_id, cat_id, store_id, state_id FROM had), hv AS (SELECT hs.*, hd.date, COALESCE(had.sales, 0) AS sales, CASE WHEN hd.date > (SELECT MAX(date) FROM had) - 28 THEN CAST(COALESCE(had.sales * had.sell_price, 0) AS DECIMAL(38,10)) ELSE 0 END AS v
+FROM hs CROSS JOIN hd LEFT JOIN had ON had.id = hs.id AND had.date = hd.date)"""
+
+
+@query(f"WITH {_SPARSE}, sy AS (SELECT id, date, sales AS y FROM hv) SELECT id, {s4('scale')} AS scale FROM ({_SCALE('id', 'sy')})")
+def sparse_scales(spark, sf_dir):
+    """Scales of series that lack days which others have."""
+    return rounded(M.scales(_lacking(parts(spark, sf_dir)[1]), ["id"]))
+
+
+@query(f"""WITH {_SPARSE}, h AS ({_level_union('hv', 'date', 'SUM(sales) AS y', 'SUM(v) AS v')}), hk AS (SELECT level || CHR(30) || key AS lk, * FROM h), sc AS ({_SCALE('lk', 'hk')}), wt AS (SELECT level, lk, CAST(SUM(v) AS DOUBLE) AS w FROM hk GROUP BY 1, 2),
+held AS (SELECT * FROM naive WHERE NOT {_LACKS}), ne AS (SELECT COUNT(DISTINCT date) AS n FROM held),
+e AS ({_level_union('held', 'date', 'SUM(sales) AS y', 'SUM(prediction) AS p')}), er AS (SELECT level || CHR(30) || key AS lk, CASE WHEN COUNT(*) = (SELECT n FROM ne) THEN AVG(POW(y - p, 2)) ELSE CAST('NaN' AS DOUBLE) END AS mse FROM e GROUP BY 1),
+f AS (SELECT level, SUM(w * SQRT(COALESCE(mse, CAST('NaN' AS DOUBLE)) / scale)) / SUM(w) AS x, COUNT(*) AS n_series FROM wt JOIN sc USING (lk) LEFT JOIN er USING (lk) WHERE scale > 0 GROUP BY level)
+SELECT level, CASE WHEN ISNAN(x) THEN -1.0 ELSE {s4('x')} END AS wrmsse, n_series FROM f""")
+def sparse_wrmsse(spark, sf_dir):
+    """The twelve levels over missing days: a key that lacks a test day makes its level NaN (here -1)."""
+    _, train, test, _ = parts(spark, sf_dir)
+    made = M.hierarchical_wrmsse(_lacking(train), _lacking(backtest.seasonal_naive(train, test)))
+    return made.select("level", F.when(F.isnan("wrmsse"), F.lit(-1.0)).otherwise(r4(F.col("wrmsse"))).alias("wrmsse"), "n_series")
+
+
 _PLAN = backtest.Plan(n_folds=4, test_days=28, gap_days=3)
 
 
@@ -512,9 +571,27 @@ def backtest_naive_scores(spark, sf_dir):
     panel = demand_panel(spark, sf_dir).persist()
     found = backtest.run(panel, backtest.seasonal_naive, backtest.Plan(n_folds=2, test_days=28))
     made = found.summary(spark).select("fold", "rmse", "mae", "smape", "n_samples")
+    found.release()
+    panel.unpersist()
     return rounded(made)
 
 
+@query(f"""WITH {PANEL_SQL}, b AS (SELECT MAX(date) AS z FROM panel), k AS (SELECT UNNEST(RANGE(2)) AS k), f AS (SELECT CAST(2 - k AS INT) AS fold, CAST(z - CAST(28 * k + 31 AS INT) AS DATE) AS train_end, CAST(z - CAST(28 * k + 27 AS INT) AS DATE) AS test_start, CAST(z - CAST(28 * k AS INT) AS DATE) AS test_end FROM k, b),
+x AS (SELECT fold, id, date, train_end, test_start, sales, CASE WHEN date <= train_end THEN sales END AS seen FROM panel, f WHERE date <= test_end),
+y AS (SELECT *, LAG(seen, 35) OVER (PARTITION BY fold, id ORDER BY date) AS old FROM x)
+SELECT fold, id, date, sales, COALESCE(old, 0) AS prediction FROM y WHERE date >= test_start""")
+def backtest_gap_lags(spark, sf_dir):
+    """Folds with a gap of three days: the forecast is the lag of 35 days that features see there."""
+    lag = X.Temporal(lags=(35,), min_lag=31)
+
+    def forecast(history: DataFrame, future: DataFrame) -> DataFrame:
+        whole = history.unionByName(future.withColumn("sales", F.lit(None).cast("double")))
+        return whole.select(*KEYS, F.coalesce(X.lag_columns(lag)["sales_lag_35"], F.lit(0.0)).alias("prediction"))
+
+    found = backtest.run(demand_panel(spark, sf_dir), forecast, backtest.Plan(n_folds=2, test_days=28, gap_days=3))
+    return found.predictions.select("fold", *KEYS, "sales", "prediction")
+
+
 # --- validation, store, scoring --------------------------------------------------------------------------
 
 
@@ -545,7 +622,8 @@ def validate_outliers(spark, sf_dir):
 @query(f"SELECT {s4('CORR(l_quantity, l_extendedprice)')} AS quantity_price, {s4('CORR(l_quantity, l_discount)')} AS quantity_discount, {s4('CORR(l_discount, l_tax)')} AS discount_tax FROM lineitem")
 def validate_correlation(spark, sf_dir):
     pairs = (("l_quantity", "l_extendedprice", "quantity_price"), ("l_quantity", "l_discount", "quantity_discount"), ("l_discount", "l_tax", "discount_tax"))
-    return table(spark, sf_dir, "lineitem").agg(*(r4(F.corr(a, b)).alias(n) for a, b, n in pairs))
+    found = validate.correlations(table(spark, sf_dir, "lineitem"), [(a, b) for a, b, _ in pairs])
+    return rounded(spark.createDataFrame([tuple(found[a, b] for a, b, _ in pairs)], ", ".join(f"{n} double" for _, _, n in pairs)))
 
 
 @query("SELECT o_orderpriority AS name, ARG_MAX(o_orderkey, saved) AS version, MAX(saved) AS saved FROM (SELECT o_orderpriority, o_orderkey, CAST(o_orderdate AS DATE) * 1 AS saved FROM (SELECT o_orderpriority, o_orderkey, DATE_DIFF('day', DATE '1990-01-01', CAST(o_orderdate AS DATE)) * 1000000 + o_orderkey AS o_orderdate FROM orders WHERE o_orderdate <= TIMESTAMP '1998-06-30') q) GROUP BY 1".replace("CAST(o_orderdate AS DATE) * 1 AS saved", "o_orderdate AS saved"))
@@ -556,14 +634,28 @@ def store_as_of(spark, sf_dir):
     return store.as_of(rows, 2**60, saved="saved")
 
 
-@query(f"""WITH r AS (SELECT s_name AS store_id, 'i' || s_suppkey AS item_id, DATE '2024-02-26' + CAST(k AS INT) AS forecast_date, s_acctbal FROM supplier, (SELECT UNNEST(RANGE(7)) AS k) WHERE s_suppkey <= 50),
+@query("SELECT s_suppkey, s_name, s_acctbal, CASE WHEN s_suppkey % 2 = 0 THEN '000001' ELSE '000002' END AS version FROM supplier")
+def store_versions(spark, sf_dir):
+    """Two versions of a feature set: even rows as the first had them, odd ones from the latest."""
+    from uuid import uuid4
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    kept = store.FeatureStore(spark, f"{root}/feature-store-{uuid4().hex}", cache=False)
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    first = kept.save("supplier", rows)
+    kept.save("supplier", rows.withColumn("s_acctbal", F.col("s_acctbal") + 0))
+    old = kept.load_as_of("supplier", datetime.fromisoformat(first["saved"])).where("s_suppkey % 2 = 0").withColumn("version", F.lit(first["version"]))
+    return old.unionByName(kept.load("supplier").where("s_suppkey % 2 = 1").withColumn("version", F.lit(kept.latest("supplier"))))
+
+
+@query(f"""WITH r AS (SELECT s_name AS store_id, 'i' || s_suppkey AS item_id, DATE '2024-02-26' + CAST(k AS INT) AS forecast_date, s_acctbal FROM supplier, (SELECT UNNEST(RANGE(7)) AS k)),
 p AS (SELECT *, GREATEST(0, 2 + 0.5 * (ISODOW(forecast_date) - 1) + 0.25 * DAY(forecast_date)) AS prediction FROM r)
 SELECT item_id, store_id, CAST(forecast_date AS DATE) AS forecast_date, {s4('prediction')} AS prediction, {s4('GREATEST(0, prediction * (1 - 1.2815515655446008 * 0.2))')} AS lower_bound, {s4('prediction * (1 + 1.2815515655446008 * 0.2)')} AS upper_bound FROM p""")
 def score_requests_horizon(spark, sf_dir):
     """A fixed linear model scored over seven days for each request, with its 80% interval."""
     from tidewright.operators.models import interval
 
-    base = table(spark, sf_dir, "supplier").where("s_suppkey <= 50").select(F.col("s_name").alias("store_id"), F.concat(F.lit("i"), "s_suppkey").alias("item_id"), F.lit(date(2024, 2, 26)).alias("start_date"))
+    base = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("store_id"), F.concat(F.lit("i"), "s_suppkey").alias("item_id"), F.lit(date(2024, 2, 26)).alias("start_date"))
     rows = scoring.request_rows(scoring.horizon_requests(base, 7), ["day_of_week", "day_of_month", "sell_price"])
     scored = rows.withColumn("prediction", F.greatest(F.lit(0.0), 2 + 0.5 * F.col("day_of_week") + 0.25 * F.col("day_of_month")))
     return rounded(scored.withColumns(interval("prediction", 0.8)).select("item_id", "store_id", "forecast_date", "prediction", "lower_bound", "upper_bound"))
@@ -601,37 +693,45 @@ def synthetic_panel(spark, sf_dir):
     return Synthetic(n_items=7, n_stores=3, n_days=200).panel(spark)
 
 
-def _modelled(spark, sf_dir, objective: str) -> tuple[DataFrame, object, DataFrame]:
+def _modelled(spark, sf_dir, objective: str, until: int = 0) -> DataFrame:
+    """The held-out days (or, `until` days earlier, as many before them) with a model's predictions, fitted on
+    what was known before."""
     from tidewright.operators.models import Forecaster, ModelConfig
 
-    panel, _, test, origin = parts(spark, sf_dir)
-    hidden = prepare.hide_after(panel, origin)
+    panel, _, _, origin = parts(spark, sf_dir)
+    origin -= timedelta(until)
+    hidden = prepare.hide_after(panel, origin).where(F.col("date") <= F.lit(origin + timedelta(HORIZON)))
     t = X.Temporal(lags=(28, 35), windows=(28,), statistics=("mean", "std"), countries=())
-    made = X.temporal_features(hidden, t).persist()
+    made = X.temporal_features(hidden, t)
     names = [*X.temporal_names(t), "day_of_week", "month", "sell_price", "item_id", "store_id"]
     train = made.where((F.col("date") <= F.lit(origin)) & F.col("sales").isNotNull())
     model = Forecaster(ModelConfig(objective=objective, trees=8, depth=4)).fit(train, names)
-    return prepare.reattach(model.predict(made.where(F.col("date") > F.lit(origin))), test), model, train
+    actual = panel.where(F.col("date").between(F.lit(origin + timedelta(1)), F.lit(origin + timedelta(HORIZON))))
+    return prepare.reattach(model.predict(made.where(F.col("date") > F.lit(origin))), actual).select(*KEYS, "sales", "prediction")
 
 
 @query()
 def gbt_forecast(spark, sf_dir):
-    return _modelled(spark, sf_dir, "squared")[0].select(*KEYS, "sales", "prediction")
+    return _modelled(spark, sf_dir, "squared")
 
 
 @query()
 def tweedie_glm_forecast(spark, sf_dir):
-    return _modelled(spark, sf_dir, "tweedie")[0].select(*KEYS, "sales", "prediction")
+    return _modelled(spark, sf_dir, "tweedie")
 
 
 @query()
 def ensemble_forecast(spark, sf_dir):
-    """Weights fitted on the last days before the origin, applied to the held-out days."""
+    """Weights fitted on the days before the origin, which neither member learned from, applied to the held-out days."""
     from tidewright.operators.models import best_weights, combined
 
-    one, model, train = _modelled(spark, sf_dir, "squared")
-    two = backtest.moving_average(train, one.drop("prediction"))
-    both = one.select(*KEYS, "sales", F.col("prediction").alias("a")).join(two.select(*KEYS, F.col("prediction").alias("b")), KEYS)
-    fitted = model.predict(train.where("time_idx > 600")).withColumnRenamed("prediction", "a").withColumn("b", F.col("sales_roll_mean_28")).dropna(subset=["b"])
-    weights = best_weights(fitted, ["a", "b"]) or {"a": 0.5, "b": 0.5}
-    return both.select(*KEYS, "sales", combined({"a": F.col("a"), "b": F.col("b")}, weights)["prediction"].alias("prediction"))
+    panel, _, _, origin = parts(spark, sf_dir)
+
+    def both(until: int) -> DataFrame:
+        one = _modelled(spark, sf_dir, "squared", until).withColumnRenamed("prediction", "a")
+        return backtest.moving_average(panel.where(F.col("date") <= F.lit(origin - timedelta(until))), one).withColumnRenamed("prediction", "b")
+
+    weights = best_weights(both(HORIZON), ["a", "b"])
+    if weights is None:
+        raise ValueError("no days before the origin to fit the weights on")
+    return both(0).select(*KEYS, "sales", combined({"a": F.col("a"), "b": F.col("b")}, weights)["prediction"].alias("prediction"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SINCE = "1999-11-06"
 IDS = ("id", "item_id", "dept_id", "cat_id", "store_id", "state_id")
 
 
@@ -38,11 +37,14 @@ def hierarchy(item: str = "item_id") -> dict[str, F.Column]:
     }
 
 
-def sold(spark: SparkSession, sf_dir: str, since: str = SINCE) -> DataFrame:
+def sold(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
     """item_id, store_id, state_id, date, qty, day_price of days with sales. Dates and columns are pruned in
     the scan; only the region and nation tables, whose sizes are fixed, are broadcast by hint."""
     day = F.col("l_shipdate").cast("date")
-    lines = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz")).select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", day.alias("date"))
+    lines = table(spark, sf_dir, "lineitem")
+    if since is not None:
+        lines = lines.where(F.col("l_shipdate") >= F.lit(since).cast("timestamp_ntz"))
+    lines = lines.where(F.col("l_shipdate").isNotNull()).select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", day.alias("date"))
     part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("item_id"))
     nation = table(spark, sf_dir, "nation").join(F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
     nation = nation.select("n_nationkey", F.col("n_name").alias("store_id"), F.col("r_name").alias("state_id"))
@@ -55,9 +57,9 @@ def sold(spark: SparkSession, sf_dir: str, since: str = SINCE) -> DataFrame:
     )
 
 
-def demand_panel(spark: SparkSession, sf_dir: str, since: str = SINCE) -> DataFrame:
+def demand_panel(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
     """id, item_id, dept_id, cat_id, store_id, state_id, date, sales, sell_price: dense by day; sales 0
-    without a line, the price carried forward from the last day with one."""
+    without a line, the price carried forward from the last day with one. since: drop what was shipped before."""
     found = sold(spark, sf_dir, since)
     grid = densify(found, ["item_id", "store_id", "state_id"])
     rows = grid.join(found, ["item_id", "store_id", "state_id", "date"], "left")
