@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewright.llm.common import stored
+from tidewright.llm.common import removed, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: the least node of each node's component, for all nodes of edges (a, b).
+    """node, root: the least node of each node's component, for all nodes of edges (a, b), as a stored table.
 
     Large-star and small-star rounds until nothing changes; each round is written to the shared folder, so
     a lost executor costs at most one round. Loops and repeated edges are allowed; null ends are ignored.
@@ -26,9 +26,12 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         moved = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).distinct()
-        stars = stored(moved, "edges")
+        old, stars = stars, stored(moved, "edges")
+        removed(old)
         # hashes and counts of all edges: equal sums mean that the round changed nothing
         now = stars.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b") % (1 << 40)).alias("x")).first()
         if before == now:
-            return stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(stars.select("b", "b").distinct())
+            found = stored(stars.select(F.col("a").alias("node"), F.col("b").alias("root")).union(stars.select("b", "b").distinct()), "components")
+            removed(stars)
+            return found
         before = now
