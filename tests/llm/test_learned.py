@@ -87,6 +87,74 @@ def test_machine_matches_the_sum_over_pairs():
     assert np.isclose(m.score(place, value), 1 / (1 + np.exp(-z)))
 
 
+def test_every_score_is_the_sum_over_pairs(tables):
+    """The query's scores against the machine's definition, pair by pair, on words counted here."""
+    from collections import Counter
+
+    docs, labels, _, _ = tables
+    m = quality.train(docs, labels)
+    texts = {}
+    for r in docs.collect():
+        texts.setdefault(r.doc_id, []).append((r.text or "", r.n_chars))
+    got = quality.classify(docs, labels).collect()
+    for r in got[:40] + [x for x in got if x.doc_id is None or x.doc_id >= 9000]:
+        def plain(text, n):
+            w = text.split()
+            counts = Counter(w)
+            x = np.zeros(quality.SIZE)
+            for word, c in counts.items():
+                x[zlib.crc32(word.encode()) >> 18] += (c / max(1, len(w))) ** 0.5
+            stats = np.array(quality.statistics(text, w, counts, n))
+            x[-quality.STATS :] = np.clip((stats - m.mean) / m.sd, -4, 4) / 4
+            some = np.flatnonzero(x)
+            # a word's own square is left out, also where two words share a place
+            own = Counter()
+            for word, c in counts.items():
+                own[zlib.crc32(word.encode()) >> 18] += c / max(1, len(w))
+            for k in range(quality.SIZE - quality.STATS, quality.SIZE):
+                own[k] = x[k] ** 2
+            z = m.bias + m.w @ x
+            for i in some:
+                z += sum(float(m.v[i] @ m.v[j]) * x[i] * x[j] for j in some if j < i)
+                z += 0.5 * float(m.v[i] @ m.v[i]) * (x[i] ** 2 - own[i])
+            return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+        if len(texts[r.doc_id][0][0]) < 3000:
+            assert any(np.isclose(r.score, plain(*t), atol=1e-6) for t in texts[r.doc_id])
+
+
+def test_languages_against_plain_counts(tables):
+    """Filters against sets of n-grams kept whole: only false positives of the filters and names that meet differ."""
+    from collections import Counter
+
+    docs = tables[0]
+
+    def grams(text):
+        t = "".join(c if c.isalpha() else " " for c in f" {(text or '').lower()} ")
+        out = [t[i : i + n] for n in (2, 3, 4) for i in range(len(t) - n + 1)]
+        return [g for g in out if " " not in g[1:-1] and not (g[0] == " " and g[-1] == " ")]
+
+    counts, totals = {}, {}
+    rows = docs.collect()
+    for r in rows:
+        if r.text is not None and r.lang is not None and not held(r.doc_id, 3, 1):
+            counts.setdefault(r.lang, Counter()).update(grams(r.text))
+    totals = {x: sum(c.values()) for x, c in counts.items()}
+    every = {g for c in counts.values() for g in c}
+    most = {g: max(c[g] / totals[x] for x, c in counts.items()) for g in every}
+    known = {x: {g for g, n in c.items() if n >= langid.MIN_COUNT and n / totals[x] >= langid.SHARE * most[g]} for x, c in counts.items()}
+    got, agree, n = {(r.doc_id, r.lang_pred): r for r in langid.detect(docs).collect()}, 0, 0
+    for r in rows:
+        g = grams(r.text)
+        hits = {x: sum(y in k for y in g) for x, k in known.items()}
+        if g and max(hits.values()) > 0:
+            n += 1
+            best = max(sorted(hits), key=hits.get)
+            if (found := got.get((r.doc_id, best))) is not None:
+                agree += abs(found.score - hits[best] / sum(hits.values())) < 0.1
+    assert n > 200 and agree >= 0.97 * n
+
+
 def test_stages_keep_rows_as_they_are(tables):
     docs, labels, rows, good = tables
     kept = quality.accepted(docs, quality.train(docs, labels))

@@ -36,3 +36,33 @@ def test_stages_and_run(spark, rows, tmp_path):
     for r in sequences:
         filled[r.sequence_id] += r.length
     assert max(filled.values()) <= 2048 and {r.doc_id for r in sequences} == {d for d, _ in single}
+
+
+def test_stages_take_any_rows(spark, rows, tmp_path):
+    """Null ids, texts and labels, empty and very short texts, repeated rows: every stage gives a subset of its
+    rows (or changed texts), and the last packs each that is left."""
+    import corpus_pipeline
+
+    data = [(d, t, None if k % 5 == 0 else "en", None, None) for k, (d, t) in enumerate(rows)] * 2 + [(None, None, None, None, None), (None, "", "en", "s", -1)]
+    labels = [(d, None if k % 4 == 0 else int(k % 3 > 0), 0) for k, (d, _) in enumerate(rows)] + [(None, 1, 0)]
+    spark.createDataFrame(data, KINDS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = before = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = stage(spark, before, str(tmp_path))
+        docs.write.parquet(f"{tmp_path}/any{k}")
+        docs = spark.read.parquet(f"{tmp_path}/any{k}")
+        if k < 3:
+            assert docs.exceptAll(before).isEmpty()
+        if k < 4:
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"] and (k != 3 or docs.count() == before.count())
+            before = docs
+    assert sorted(str(r.doc_id) for r in docs.where("piece = 0").collect()) == sorted(str(r.doc_id) for r in before.collect())
+
+
+def test_stages_take_empty_tables(spark, none, tmp_path):
+    import corpus_pipeline
+
+    none.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
