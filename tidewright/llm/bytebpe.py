@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding with a global distinct-word shuffle.
 
-A block is one Arrow batch of documents. Its texts are exploded into pre-tokens with their positions, as
+A block is some documents of one Arrow batch, cut by number and bytes. Its texts are exploded into pre-tokens with their positions, as
 codes into the block's own list of distinct words. Words go, packed by hash bucket, through one shuffle that
 brings equal words of all blocks together; each distinct word is encoded once; its ids go back, packed, to
 every block that has it. A block is reassembled by position. So a shuffle holds a word once for each block,
@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewright.llm.bpe import spread
+from tidewright.llm.common import stretches
 
 #: The white space of the vocabulary's splitting pattern (Unicode White_Space).
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Texts cut at once, and documents in one row of positions.
+#: Texts cut at once, documents in one row of positions, texts in a block and their bytes.
 CUT, CHUNK = 400, 1000
+TEXTS, BYTES = 10_000, 8 << 20
 _ROW = "block long, kind int, part int, data binary, docs binary, counts binary"
 
 
@@ -160,32 +162,32 @@ def _blocks(docs: DataFrame, pattern: str, buckets: int, positions: bool) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(pattern)
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = batch.column(0).to_pylist()
-            b = Block(cutter, batch.column(1), buckets)
-            name, rows = b.name(ids), []
-            if positions:
-                ends = np.concatenate([[0], np.cumsum(b.counts)])
-                for k, lo in enumerate(range(0, len(ids), CHUNK)):
-                    hi = min(len(ids), lo + CHUNK)
-                    docs_of = pa.array(ids[lo:hi], pa.int64())
-                    known = np.array([x is not None for x in ids[lo:hi]], np.uint8).tobytes()
-                    data = _pack(b.codes[ends[lo] : ends[hi]].view(np.uint8).reshape(-1, 4).T.tobytes())
-                    rows.append((name, 1, k, data, known + docs_of.fill_null(0).to_numpy().tobytes(), b.counts[lo:hi].astype("<u4").tobytes()))
-                    yield _rows(rows)
-                    rows = []
-            else:
-                for k in range(buckets):
-                    some = b.words[b.first[k] : b.first[k + 1]]
-                    if some:
-                        sizes = np.array([len(w) for w in some], "<u4")
-                        rows.append((name, 0, k, _pack(b"".join(some)), None, _pack(sizes.tobytes())))
-                    if len(rows) >= 256:
-                        yield _rows(rows)
-                        rows = []
-                if rows:
-                    yield _rows(rows)
+            for lo, hi in stretches(batch.column(1), TEXTS, BYTES):
+                yield from of(cutter, batch.slice(lo, hi - lo))
+
+    def of(cutter: Cutter, part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids = part.column(0).to_pylist()
+        b = Block(cutter, part.column(1), buckets)
+        name, rows = b.name(ids), []
+        if positions:
+            ends = np.concatenate([[0], np.cumsum(b.counts)])
+            for k, lo in enumerate(range(0, len(ids), CHUNK)):
+                hi = min(len(ids), lo + CHUNK)
+                docs_of = pa.array(ids[lo:hi], pa.int64())
+                known = np.array([x is not None for x in ids[lo:hi]], np.uint8).tobytes()
+                data = _pack(b.codes[ends[lo] : ends[hi]].view(np.uint8).reshape(-1, 4).T.tobytes())
+                yield _rows([(name, 1, k, data, known + docs_of.fill_null(0).to_numpy().tobytes(), b.counts[lo:hi].astype("<u4").tobytes())])
+            return
+        for k in range(buckets):
+            some = b.words[b.first[k] : b.first[k + 1]]
+            if some:
+                sizes = np.array([len(w) for w in some], "<u4")
+                rows.append((name, 0, k, _pack(b"".join(some)), None, _pack(sizes.tobytes())))
+            if len(rows) >= 256:
+                yield _rows(rows)
+                rows = []
+        if rows:
+            yield _rows(rows)
 
     return docs.select("doc_id", "text").mapInArrow(run, _ROW)
 
@@ -267,8 +269,8 @@ def _assembled(blocks: DataFrame, each, kind: str) -> DataFrame:
 
 def _all(docs: DataFrame, path: str | None, pattern: str | None, buckets: int | None):
     path, pattern = path or default_ranks(), pattern or default_pattern()
-    if buckets is None:  # so many that a bucket stays small, and no more than make sense for a block
-        buckets = min(4096, max(64, 4 * docs.rdd.getNumPartitions()))
+    if buckets is None:  # more with the input, as each holds its words in memory, but fewer for each block
+        buckets = max(64, round(4 * docs.rdd.getNumPartitions() ** 0.75))
     words = _blocks(docs, pattern, buckets, positions=False)
     return path, _encoded(words, path, pattern).unionByName(_blocks(docs, pattern, buckets, positions=True))
 

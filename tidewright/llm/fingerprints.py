@@ -10,6 +10,7 @@ hashes of the names of one level; likeness is the Jaccard index that two of them
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,40 +112,35 @@ def fingerprint(docs: DataFrame, level: int = LEVEL) -> DataFrame:
 
 
 def followed(docs: DataFrame) -> DataFrame:
-    """docs in stretches of descending doc_id (null ids last): place (of the stretch), extra (whether the
-    row only stands there as the next of the last), doc_id, text.
+    """docs in stretches of descending doc_id (null ids last; rows of one doc_id by a hash of their texts): place
+    (of the stretch), extra (whether the row only stands there as the next of the last), doc_id, text.
 
-    Only doc_ids are sorted to find the stretches. The rows with a stretch's first doc_id also go to the
-    stretch before, so each stretch knows what follows it; texts are shuffled once.
+    Only doc_ids and hashes are sorted to find the stretches, so many rows of one doc_id, or of none, are dealt
+    over many. The rows like a stretch's first also go to the stretch before, so each stretch knows what
+    follows it; texts are shuffled once.
     """
     spark = docs.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * docs.rdd.getNumPartitions())
-    order = F.col("doc_id").desc_nulls_last()
-    ids = docs.select("doc_id").repartitionByRange(n, order)
-    ends = ids.groupBy(F.spark_partition_id().alias("p")).agg(F.max("doc_id").alias("most"), F.count("*").alias("n")).where("n > 0").collect()
-    heads = sorted({-r.most for r in ends if r.most is not None})  # a few for each partition, negated: ascending
-    has_null = any(r.most is None for r in ends) or not docs.where("doc_id is null").isEmpty()
-    low = np.array(heads, np.int64)
-    last = len(heads) - 1 if not has_null else len(heads)
+    n = 8 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
+    order, text_hash = F.col("doc_id").desc_nulls_last(), F.xxhash64("text")
+    keyed = docs.select(F.col("doc_id").cast("long"), "text")
+    ids = keyed.select("doc_id", text_hash.alias("hash")).repartitionByRange(n, order, "hash")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(-F.col("doc_id"), F.lit(0)).alias("key"), "hash")).alias("first")
+    heads = sorted(tuple(r.first) for r in ids.groupBy(F.spark_partition_id().alias("p")).agg(first).select("first").collect())  # one for each partition
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids = batch.column(0)
-            null = ids.is_null().to_numpy(zero_copy_only=False)
-            key = -ids.fill_null(0).to_numpy()
-            place = np.where(null, len(low), np.searchsorted(low, key, side="right") - 1)
-            head = null | (low[np.clip(place, 0, len(low) - 1)] == key) if len(low) else null
-            before = np.where(place == 0, last, place - 1)
-            again = np.flatnonzero(head)
+            keys = [(d is None, -(d or 0), h) for d, h in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            place = np.array([bisect_right(heads, k) - 1 for k in keys])
+            again = np.flatnonzero([heads[p] == k for p, k in zip(place.tolist(), keys)])
             take = np.concatenate([np.arange(batch.num_rows), again])
             extra = np.arange(len(take)) >= batch.num_rows
             some = batch.take(pa.array(take))
-            to = np.concatenate([place, before[again]]).astype(np.int32)
+            to = np.concatenate([place, (place[again] - 1) % len(heads)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(extra), some.column(0), some.column(1)], ["place", "extra", "doc_id", "text"])
 
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(deal, "place int, extra boolean, doc_id long, text string")
+    dealt = keyed.select("doc_id", "text", text_hash.alias("hash")).mapInArrow(deal, "place int, extra boolean, doc_id long, text string")
     return dealt.repartition("place").sortWithinPartitions("place", "extra", order, F.xxhash64("text"), "text")
 
 

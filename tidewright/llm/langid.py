@@ -27,9 +27,10 @@ NAME_BITS = 20
 SHARDS = 32
 SLOT_BITS = 19
 PROBES = 2
-#: An n-gram is in a language if it is at least so frequent there as a share of its highest frequency.
+#: An n-gram is in a language if it is at least so frequent there as a share of its highest frequency, and was
+#: seen so often.
 SHARE = 0.4
-MIN_COUNT = 3
+MIN_COUNT = 2
 
 _KINDS = ((2, 0x9E3779B1, 0x85EBCA77), (3, 0xC2B2AE3D, 0x27D4EB2F), (4, 0x165667B1, 0xD3A2646D))
 
@@ -163,8 +164,7 @@ def learn(docs: DataFrame) -> Filters:
     for x, total in zip(langs, totals):
         np.maximum(most, tables[x] / np.float32(total), out=most)
     for k, (x, total) in enumerate(zip(langs, totals)):
-        least = MIN_COUNT if total > 100_000 else 1
-        name = np.flatnonzero((tables[x] >= least) & (tables[x] / np.float32(total) >= SHARE * most))
+        name = np.flatnonzero((tables[x] >= MIN_COUNT) & (tables[x] / np.float32(total) >= SHARE * most))
         for s in slots(name):
             bits[np.unique(s), k // 64] |= np.uint64(1 << (k % 64))
     return Filters(langs, bits, int(np.argmax(totals)) if langs else 0)
