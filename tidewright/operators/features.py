@@ -217,12 +217,14 @@ def hierarchy_names(h: Hierarchy, columns: Sequence[str]) -> list[str]:
 
 
 def hierarchy_features(df: DataFrame, h: Hierarchy = Hierarchy(), target: str = "sales", date: str = "date", group: str = "id") -> DataFrame:
-    """Each level's lagged statistics joined to the rows, and the series' share of each level."""
-    base = df
+    """Each level's lagged statistics joined to the rows, and the series' share of each level. Only items see
+    every row: the other levels are summed from rows that were summed over items."""
+    small = [x for x in h.levels if x in df.columns and x != "item_id"]
+    base, coarse = df, df.groupBy(*small, date).agg(F.sum(target).alias(target)) if len(small) > 1 else df
     df = df.withColumn("_own", rolled("mean", target, h.window, h.min_lag, by_day(group, date)))
     for level in [x for x in h.levels if x in df.columns]:
         name = level.removesuffix("_id")
-        df = df.join(level_features(base, level, h, target, date), [level, date], "left")
+        df = df.join(level_features(coarse if level in small else base, level, h, target, date), [level, date], "left")
         df = df.withColumn(f"share_of_{name}", F.col("_own") / (F.col(f"{name}_agg_roll_mean_{h.window}") + EPS))
     return df.drop("_own")
 

@@ -65,8 +65,11 @@ def run(spark: SparkSession, config: Config, panel: DataFrame | None = None) ->
     if t.n_folds:
         found = backtest.run(panel, backtest.model_forecast(model, t.horizon, t.validation_days), backtest.Plan(n_folds=t.n_folds, test_days=t.horizon))
         out["backtest"] = found.aggregate()
+        found.release()
     _write_text(spark, f"{t.out}/metrics.json", json.dumps(out, indent=2, default=str))
     _write_text(spark, f"{t.out}/run_config.json", json.dumps(as_dict(config), indent=2, default=str))
+    for frame in (made, features, panel):
+        frame.unpersist()
     return out
 
 
