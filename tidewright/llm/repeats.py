@@ -85,17 +85,22 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def occurrences(rows: DataFrame, kind: Kind) -> DataFrame:
-    """row, doc, first, n, a, s of each segment of each text."""
+    """row, doc, first, k, n, a, s of each kind of segment of each text: first holds the k places where the text
+    has it (32-bit integers, ascending), so a line that a text repeats is one row."""
 
     @tidied
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, doc = (batch.column(k).to_numpy() for k in (0, 1))
             found, size = [], 0
-            for k, units in enumerate(kind.units(batch.column(2))):
+            for at, units in enumerate(kind.units(batch.column(2))):
                 first, n, a, s = segments(units, kind.window, kind.gram, kind.table)
                 if len(first):
-                    found.append((np.full(len(first), k), first, n, a, s))
+                    order = np.argsort(s, kind="stable")
+                    head = np.flatnonzero(np.concatenate([[True], s[order][1:] != s[order][:-1]]))
+                    k = np.diff(head, append=len(s))
+                    one = order[head]
+                    found.append((first[order].astype("<i4"), np.full(len(head), at), k, n[one], a[one], s[one]))
                     size += len(first)
                 if size > 100_000:
                     yield _occurred(found, row, doc)
@@ -103,13 +108,15 @@ def occurrences(rows: DataFrame, kind: Kind) -> DataFrame:
             if found:
                 yield _occurred(found, row, doc)
 
-    return rows.select("row", "doc", "text").mapInArrow(run, "row long, doc long, first int, n int, a long, s long")
+    return rows.select("row", "doc", "text").mapInArrow(run, "row long, doc long, first binary, k long, n int, a long, s long")
 
 
 def _occurred(found: list, row: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-    k, first, n, a, s = (np.concatenate(x) for x in zip(*found))
-    columns = [pa.array(row[k]), pa.array(doc[k]), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32)), _long(a), _long(s)]
-    return pa.RecordBatch.from_arrays(columns, ["row", "doc", "first", "n", "a", "s"])
+    first, at, k, n, a, s = (np.concatenate(x) for x in zip(*found))
+    ends = np.concatenate([[0], np.cumsum(4 * k)]).astype(np.int32)
+    places = pa.Array.from_buffers(pa.binary(), len(k), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(first.tobytes())])
+    columns = [pa.array(row[at]), pa.array(doc[at]), places, pa.array(k.astype(np.int64)), pa.array(n.astype(np.int32)), _long(a), _long(s)]
+    return pa.RecordBatch.from_arrays(columns, ["row", "doc", "first", "k", "n", "a", "s"])
 
 
 def _fetched(rows: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
@@ -124,7 +131,8 @@ def _fetched(rows: DataFrame, wanted: DataFrame, kind: Kind) -> DataFrame:
             out, size = [], 0
             for some, units in zip(batch.column(1), kind.units(batch.column(0))):
                 for x in some.as_py():
-                    part = units[x["first"] : x["first"] + x["n"] - 1 + kind.window]
+                    at = int(np.frombuffer(x["first"], "<i4")[0])
+                    part = units[at : at + x["n"] - 1 + kind.window]
                     out.append((x["a"], x["s"], x["doc0"], x["large"], part.tobytes()))
                     size += part.nbytes
                 if size > 4 << 20:
@@ -206,13 +214,13 @@ def _by_window(found: DataFrame, kind: Kind) -> DataFrame:
 
 def repeated(rows: DataFrame, kind: Kind, most: int = MOST) -> DataFrame:
     """row, doc, spans: the repeated windows of each text that has any. spans: array of (first, n, flags), n
-    windows from the first, all of them repeated if flags is null, else those whose bits are set.
+    windows from each place in first, all of them repeated if flags is null, else those whose bits are set.
 
     rows: as keyed() gives them. Every window of every text is judged; `most` only says how a bucket is
     compared.
     """
     found = occurrences(rows, kind)
-    by_kind = found.groupBy("a", "s").agg(F.count("*").alias("times"), F.min("doc").alias("doc0"), F.max("doc").alias("doc1"))
+    by_kind = found.groupBy("a", "s").agg(F.sum("k").alias("times"), F.min("doc").alias("doc0"), F.max("doc").alias("doc1"))
     total = by_kind.groupBy("a").agg(
         F.sum("times").alias("times"), F.min("doc0").alias("doc_min"), F.max("doc1").alias("doc_max"), F.count("*").alias("m"), F.max(F.struct("times", "s", "doc0")).alias("top")
     )
@@ -227,7 +235,7 @@ def repeated(rows: DataFrame, kind: Kind, most: int = MOST) -> DataFrame:
 
     # of a settled kind one document's segments stand for all
     bucket = known.where("contested and (not settled or doc = top_doc)")
-    kinds = stored(bucket.groupBy("a", "s").agg(F.count("*").alias("times"), F.min("doc").alias("doc0"), F.min(F.struct("doc", "row", "first", "n")).alias("at"), F.max("m").alias("m")), "kinds")
+    kinds = stored(bucket.groupBy("a", "s").agg(F.sum("k").alias("times"), F.min("doc").alias("doc0"), F.min(F.struct("doc", "row", "first", "n")).alias("at"), F.max("m").alias("m")), "kinds")
     wanted = kinds.select("at.row", "at.doc", "at.first", "at.n", "a", "s", "doc0", (F.col("m") > most).alias("large"))
     fetched = stored(_fetched(rows, wanted, kind), "contested")
     flags = _in_buckets(fetched.where("not large"), kind).unionByName(_by_window(fetched.where("large"), kind))
@@ -247,11 +255,12 @@ def covered(n_units: int, window: int, spans: list[dict] | None) -> np.ndarray:
     """Which units lie in a repeated window."""
     edge = np.zeros(n_units + 1, np.int64)
     for x in spans or ():
+        first = np.frombuffer(x["first"], "<i4").astype(np.int64)
         if x["flags"] is None:
-            edge[x["first"]] += 1
-            edge[x["first"] + x["n"] - 1 + window] -= 1
+            np.add.at(edge, first, 1)
+            np.add.at(edge, first + x["n"] - 1 + window, -1)
         else:
-            at = x["first"] + np.flatnonzero(np.unpackbits(np.frombuffer(x["flags"], np.uint8))[: x["n"]])
+            at = (first[:, None] + np.flatnonzero(np.unpackbits(np.frombuffer(x["flags"], np.uint8))[: x["n"]])).ravel()
             np.add.at(edge, at, 1)
             np.add.at(edge, at + window, -1)
     return np.cumsum(edge[:-1]) > 0
