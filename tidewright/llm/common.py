@@ -37,11 +37,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return at
 
 
-def stored(df: DataFrame, what: str) -> DataFrame:
+def stored(df: DataFrame, what: str, codec: str = "zstd") -> DataFrame:
     """df written once to the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     at = f"{checkpoint_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(at)
+    df.write.option("compression", codec).parquet(at)
     found = spark.read.schema(df.schema).parquet(at)
     found._stored_at = at
     return found
