@@ -1,6 +1,7 @@
 import math
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -100,3 +101,27 @@ def test_tweedie_fits_features_of_any_size(spark):
 def test_one_seed_gives_one_model(rows):
     make = lambda df: models.Forecaster(models.ModelConfig(trees=4, depth=3)).fit(df, ["x1", "x2", "store"]).predict(rows.limit(50)).select("prediction").collect()
     assert make(rows) == make(rows.repartition(3).orderBy(F.desc("x1")))
+
+
+def test_tweedie_finds_the_optimum_on_skewed_rows(spark):
+    """Rows that whole reweighted steps run off on: the weighted slope of the loss ends at nothing, penalty included."""
+    rng = np.random.default_rng(8)
+    x = np.stack([rng.pareto(1.2, 800), rng.normal(0, 1, 800), np.ones(800)], axis=1)
+    y = np.where(rng.random(800) < 0.85, 0.0, np.floor(rng.pareto(1.1, 800) * 5))
+    w = rng.integers(1, 4, 800).astype(float)
+    df = spark.createDataFrame([(a.tolist(), float(b), float(c)) for a, b, c in zip(x, y, w)], "x array<double>, y double, w double")
+    model = models.tweedie_glm(df, 1.5, 0.1)
+    b = model.coefficients.toArray()
+    mean = np.exp(x @ b + model.intercept)
+    slope = x.T @ (w * (y - mean) * mean**-0.5) - 0.1 * w.sum() * np.sqrt((w * y).sum() / w.sum()) * b
+    assert np.abs(slope).max() < 1e-4 * (w * y).sum() and abs((w * (y - mean) * mean**-0.5).sum()) < 1e-4 * (w * y).sum()
+
+
+def test_tweedie_without_sales_predicts_next_to_nothing(spark):
+    df = spark.range(50).selectExpr("array(cast(id as double)) as x", "0D as y", "1D as w")
+    model = models.tweedie_glm(df, 1.5, 0.1)
+    assert model.coefficients.toArray().tolist() == [0.0] and math.exp(model.intercept) < 1e-5
+    with pytest.raises(ValueError):
+        models.tweedie_glm(df.where("y > 0"), 1.5, 0.1)
+    with pytest.raises(ValueError):
+        models.tweedie_glm(df.selectExpr("x", "-1D as y", "w"), 1.5, 0.1)

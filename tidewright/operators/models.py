@@ -3,18 +3,28 @@
 from __future__ import annotations
 
 import json
+import pickle
 import statistics
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import asdict, dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 MISSING = -1.0
+#: Parts of a Newton step that are tried, and the gain, as a share of the loss, below which the fit ends.
+_PARTS, _GAIN = 0.5 ** np.arange(12), 1e-9
+#: Bounds of the log link's predictor.
+_FAR = 500.0
 
 
 @dataclass
@@ -48,6 +58,87 @@ def _read_text(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+def _tweedie_parts(x: np.ndarray, y: np.ndarray, w: np.ndarray, power: float, at: np.ndarray, step: np.ndarray | None):
+    """The loss at `at` plus each part of a step, or, without one, the loss, its gradient and its curvature."""
+
+    def loss(eta: np.ndarray) -> float:
+        a = -y * eta if power == 1 else y * np.exp((1 - power) * eta) / (power - 1)
+        b = eta if power == 2 else np.exp((2 - power) * eta) / (2 - power)
+        return float((w * (a + b)).sum())
+
+    eta = x @ at
+    with np.errstate(over="ignore"):
+        if step is not None:
+            by = x @ step
+            # a predictor out of bounds is no step to take
+            return np.array([loss(e) if np.abs(e).max(initial=0.0) < _FAR else np.inf for e in (eta + t * by for t in _PARTS)])
+        a, b = y * np.exp((1 - power) * eta), np.exp((2 - power) * eta)
+        bend = w * ((power - 1) * a + (2 - power) * b)
+        return loss(eta), x.T @ (w * (b - a)), (x * bend[:, None]).T @ x
+
+
+def tweedie_glm(df: DataFrame, power: float, regularisation: float, most_steps: int = 50) -> GeneralizedLinearRegressionModel:
+    """The Tweedie model with a log link of df (x: array of standardised features, y, w: weight), by damped
+    Newton steps over all rows. For powers from 1 to 2 the loss is convex, so a step that lowers it leads on to
+    the optimum; pyspark.ml's fit takes whole reweighted steps, which run off on skewed features and mostly
+    zero targets. The penalty is regularisation / 2 times the squared coefficients, on the mean row of a model
+    that has the intercept alone. Two passes a step; only sums reach the driver, one set for each partition."""
+    if not 1 <= power <= 2:
+        raise ValueError(f"variance_power is {power}, the fit takes 1 to 2")
+    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def summed(at: np.ndarray | None, step: np.ndarray | None = None) -> list:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                y, w = (batch.column(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(y), -1)
+                x = np.hstack([x, np.ones((len(y), 1))])
+                if at is None:
+                    found = [(w * y).sum(), w.sum(), float(min(y.min(), w.min()) < 0)]
+                else:
+                    found = [_tweedie_parts(x, y, w, power, at, step)] if step is not None else [*_tweedie_parts(x, y, w, power, at, None)]
+                total = found if total is None else [a + b for a, b in zip(total, found)]
+            if total is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(total)], pa.binary())], ["data"])
+
+        found = [pickle.loads(r.data) for r in rows.mapInArrow(run, "data binary").collect()]
+        if not found:
+            raise ValueError("no rows to fit the Tweedie model on")
+        return [sum(f[k] for f in found) for k in range(len(found[0]))]
+
+    try:
+        y, w, negative = summed(None)
+        if negative or not w > 0:
+            raise ValueError("the Tweedie model takes targets and weights from 0 up, not all of weight 0")
+        at = np.zeros(len(rows.first().x) + 1)
+        # without any sales the best intercept is minus infinity
+        at[-1] = np.log(max(y / w, 1e-6))
+        penalty = np.full(len(at), regularisation * w * np.exp((2 - power) * at[-1]))
+        penalty[-1] = 0.0
+        for _ in range(most_steps if y > 0 else 0):
+            value, slope, bend = summed(at)
+            value, slope, bend = value + (penalty * at**2).sum() / 2, slope + penalty * at, bend + np.diag(penalty)
+            # features that are constant or follow from others have no bend of their own
+            step = -np.linalg.lstsq(bend, slope, rcond=1e-12)[0]
+            tried = summed(at, step)[0] + np.array([(penalty * (at + t * step) ** 2).sum() / 2 for t in _PARTS])
+            best = int(np.argmin(tried))
+            if not tried[best] < value:
+                break
+            at = at + _PARTS[best] * step
+            if value - tried[best] <= _GAIN * max(1e-12, abs(value)):
+                break
+    finally:
+        rows.unpersist()
+    jvm = df.sparkSession._jvm
+    made = jvm.org.apache.spark.ml.regression.GeneralizedLinearRegressionModel(f"tweedie_{len(at) - 1}", _py2java(df.sparkSession.sparkContext, Vectors.dense(at[:-1])), float(at[-1]))
+    for name, value in {"family": "tweedie", "variancePower": power, "linkPower": 0.0, "featuresCol": "_scaled", "labelCol": "_y", "predictionCol": "prediction", "regParam": regularisation}.items():
+        made.set(made.getParam(name), value)
+    return GeneralizedLinearRegressionModel(made)
+
+
 class Forecaster:
     """Strings are indexed, nulls get a sentinel and a flag of their own (trees here reject NaN), and all is
     assembled into one vector. Predictions are never negative."""
@@ -94,9 +185,7 @@ class Forecaster:
         if c.objective == "tweedie":
             # the log link's predictor stays within bounds only where features are of like size
             scaling = [StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True)]
-            last = GeneralizedLinearRegression(family="tweedie", variancePower=c.variance_power, linkPower=0.0, featuresCol="_scaled", labelCol="_y", predictionCol="prediction", regParam=c.regularisation, maxIter=25)
             ready = ready.where(f"not {validation}") if validation else ready
-            last = last.setWeightCol(weight) if weight else last
         else:
             last = GBTRegressor(featuresCol="_features", labelCol="_y", predictionCol="prediction", maxIter=c.trees, maxDepth=c.depth, stepSize=c.learning_rate, subsamplingRate=c.row_share, featureSubsetStrategy=str(c.feature_share), maxBins=max(c.max_bins, widest), validationTol=c.tolerance, seed=c.seed)
             last = last.setWeightCol(weight) if weight else last
@@ -106,8 +195,11 @@ class Forecaster:
         scaled = [x.fit(ready) for x in scaling]
         for stage in scaled:
             ready = stage.transform(ready)
-        keep = ["_scaled" if scaled else "_features", "_y", *([weight] if weight else []), *([validation] if validation and c.objective != "tweedie" else [])]
-        self.model = PipelineModel([*indexed, assembler, *scaled, last.fit(ready.select(*keep))])
+        if scaled:
+            last = tweedie_glm(ready.select(vector_to_array("_scaled").alias("x"), F.col("_y").alias("y"), F.col(weight).cast("double").alias("w") if weight else F.lit(1.0).alias("w")), c.variance_power, c.regularisation)
+        else:
+            last = last.fit(ready.select("_features", "_y", *([weight] if weight else []), *([validation] if validation else [])))
+        self.model = PipelineModel([*indexed, assembler, *scaled, last])
         return self
 
     def predict(self, df: DataFrame) -> DataFrame:
