@@ -85,7 +85,7 @@ def tweedie_glm(df: DataFrame, power: float, regularisation: float, most_steps:
     that has the intercept alone. Two passes a step; only sums reach the driver, one set for each partition."""
     if not 1 <= power <= 2:
         raise ValueError(f"variance_power is {power}, the fit takes 1 to 2")
-    rows = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.persist(StorageLevel.DISK_ONLY)
 
     def summed(at: np.ndarray | None, step: np.ndarray | None = None) -> list:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
